@@ -35,6 +35,14 @@ def _casefold(s: pd.Series) -> pd.Series:
     return s.map(lambda v: v.casefold() if isinstance(v, str) else v)
 
 
+@F.pandas_udf(T.StructType([T.StructField("norm", T.StringType()),
+                             T.StructField("fold", T.StringType())]))
+def _nfkc_and_fold(s: pd.Series) -> pd.DataFrame:
+    norm = s.map(lambda v: unicodedata.normalize("NFKC", v) if isinstance(v, str) else None)
+    fold = norm.map(lambda v: v.casefold() if isinstance(v, str) else None)
+    return pd.DataFrame({"norm": norm, "fold": fold})
+
+
 def non_ascii(c: str | Column) -> Column:
     return _c(c).rlike("[^\\x00-\\x7F]")
 
@@ -65,6 +73,17 @@ def text_hash(c: str | Column) -> Column:
     return F.sha2(casefold(c), 256)
 
 
+def normalize_with_hash(c: str | Column) -> tuple[Column, Column]:
+    """Normalised text and SHA-256 of its casefold with a single Arrow UDF
+    call (non-ASCII rows only). Whitespace collapse and casefold commute,
+    so the hash equals ``text_hash(normalize_text(c))``."""
+    col = _c(c)
+    u = _nfkc_and_fold(F.when(non_ascii(col), col))
+    norm = collapse_whitespace(F.coalesce(u["norm"], col))
+    folded = collapse_whitespace(F.coalesce(u["fold"], F.lower(col)))
+    return norm, F.sha2(folded, 256)
+
+
 def record_id(key: str | Column, version: str = S.DATASET_VERSION) -> Column:
     """``fn_record_id``: SHA-256 of ``version:key`` (a stable key column
     replaces the source row position, which Spark does not keep)."""

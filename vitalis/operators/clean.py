@@ -58,30 +58,34 @@ def decode(df: DataFrame, codebook: DataFrame, code_col: str, out_col: str,
 def decode_complaints(df: DataFrame, codebook: DataFrame, key: str = "visit_row",
                       cols: Sequence[str] = S.RFV_COLUMNS) -> DataFrame:
     """``join_codebook_multi``: decode all complaint slots against one code
-    book. Unpivot to (row, slot, code), one left join, re-pivot by slot
-    with fixed values -- one join on the code book instead of five."""
-    base = df
-    long = base.select(key, F.explode(F.array(*[
+    book. A code book under :data:`BROADCAST_MAX_ROWS` (checked by a
+    bounded count) is broadcast once per slot, so fact rows never shuffle;
+    a larger one goes the long way: unpivot to (key, slot, code), one
+    shuffle join, regroup by key into a slot map, join back on ``key``."""
+    from vitalis.session import BROADCAST_MAX_ROWS, small_enough
+
+    cb = codebook.where(F.col("code") > 0).select(F.col("code").cast("bigint").alias("code"), "label")
+    if small_enough(cb, BROADCAST_MAX_ROWS):
+        return decode_complaints_wide(df, cb, cols, broadcast=True)
+    long = df.select(key, F.explode(F.array(*[
         F.struct(F.lit(i).alias("slot"), F.col(c).cast("bigint").alias("code"))
         for i, c in enumerate(cols)])).alias("s")).select(key, "s.slot", "s.code")
-    cb = codebook.where(F.col("code") > 0).select(
-        F.col("code").cast("bigint").alias("code"), "label")
-    dec = (long.join(cb, "code", "left")
-               .groupBy(key).pivot("slot", list(range(len(cols))))
-               .agg(F.first("label")))
-    dec = dec.select(key, *[F.col(str(i)).alias(f"{c}_description") for i, c in enumerate(cols)])
-    return base.join(dec, key, "left")
+    dec = (long.join(cb, "code").groupBy(key)
+               .agg(F.map_from_entries(F.collect_list(F.struct("slot", "label"))).alias("_m")))
+    dec = dec.select(key, *[F.col("_m")[i].alias(f"{c}_description") for i, c in enumerate(cols)])
+    return df.join(dec, key, "left")
 
 
 def decode_complaints_wide(df: DataFrame, codebook: DataFrame,
-                           cols: Sequence[str] = S.RFV_COLUMNS) -> DataFrame:
-    """Same result with one lookup per slot; each join sees the same small
-    dimension, so with a bounded code book all five are broadcast and the
-    fact rows are never shuffled."""
+                           cols: Sequence[str] = S.RFV_COLUMNS, broadcast: bool = False) -> DataFrame:
+    """One lookup per slot against the same dimension; with ``broadcast``
+    (size already proven) every join is a map-side hash join."""
     cb = codebook.where(F.col("code") > 0)
     out = df
     for c in cols:
         side = cb.select(F.col("code").alias(f"_k_{c}"), F.col("label").alias(f"{c}_description"))
+        if broadcast:
+            side = F.broadcast(side)
         out = out.join(side, out[c] == side[f"_k_{c}"], "left").drop(f"_k_{c}")
     return out
 
@@ -126,7 +130,7 @@ def eda_cohort(visits: DataFrame, rfv_codebook: DataFrame, sex_codebook: DataFra
     analytic queries run on (``sink_eda_artifact`` writes it)."""
     v = eligible(visits).withColumn("target", target_expr())
     v = decode(v, sex_codebook, "SEX", "sex_label", positive_only=False)
-    v = decode_complaints_wide(v, rfv_codebook)
+    v = decode_complaints(v, rfv_codebook)
     v = clean_vitals(v, policy="null")
     v = v.withColumn("DIAG1_code", X.diag_normalize("DIAG1"))
     dr = diag_ref.select(F.col("code").alias("_dcode"), F.col("description").alias("DIAG1_description"))

@@ -31,8 +31,12 @@ def group_folds(df: DataFrame, group_col: str = "text_hash", strat_col: str = "t
     """One row per group: (group, stratum, n, fold). A group whose rows carry
     several strata is stratified under the smallest one (the gate reports
     it); it still lands in one fold."""
+    # Stratum as an int ordinal (alphabetical, so min = string min) keeps
+    # the aggregate buffer fixed-width: hash aggregate, not sort aggregate.
+    strata = F.array(*[F.lit(t) for t in sorted(S.TARGET_ORDER)])
     groups = (df.groupBy(group_col)
-                .agg(F.min(strat_col).alias("_stratum"), F.count(F.lit(1)).alias("_n")))
+                .agg(F.min(F.array_position(strata, F.col(strat_col))).alias("_stratum"),
+                     F.count(F.lit(1)).alias("_n")))
     h = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(group_col)), 256)
     groups = groups.select("*", h.alias("_h")).withColumn(
         "_bucket", F.conv(F.substring("_h", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int"))
@@ -51,8 +55,8 @@ def group_folds(df: DataFrame, group_col: str = "text_hash", strat_col: str = "t
     ranked = groups.select("*", (F.sum("_n").over(w_in) - F.col("_n")).alias("_before_in"))
     j = ranked.join(F.broadcast(offsets), ["_stratum", "_bucket"])
     fold = F.floor(F.lit(n_folds) * (F.col("_offset") + F.col("_before_in")) / F.col("_total")).cast("int")
-    return j.select(group_col, F.col("_stratum").alias("stratum"), F.col("_n").alias("n"),
-                    fold.alias("fold"))
+    return j.select(group_col, F.element_at(strata, F.col("_stratum").cast("int")).alias("stratum"),
+                    F.col("_n").alias("n"), fold.alias("fold"))
 
 
 def split_name(fold_col: str = "fold"):

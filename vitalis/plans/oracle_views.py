@@ -161,12 +161,72 @@ JOIN (
         GROUP BY text_hash) g
 ) f USING (text_hash)"""
 
+
+# EDA table: cohort plus the EDA template text (repeats kept, truncation,
+# blood pressure only when both sides are present, no 93+ rule).
+VIEWS["eda_text"] = """
+SELECT *, concat_ws(' ',
+    CASE WHEN AGE = 0 AND AGEDAYS BETWEEN 0 AND 365 THEN 'Age: ' || CAST(AGEDAYS AS VARCHAR) || ' days.'
+         ELSE 'Age: ' || CAST(AGE AS VARCHAR) || ' years.' END,
+    'Sex: ' || sex_label || '.',
+    CASE WHEN concat_ws('; ', RFV1_description, RFV2_description, RFV3_description, RFV4_description,
+                        RFV5_description) <> ''
+         THEN 'Reasons for visit: ' || concat_ws('; ', RFV1_description, RFV2_description, RFV3_description,
+                                                 RFV4_description, RFV5_description) || '.' END,
+    CASE WHEN eobs <> '' THEN 'Triage observations: ' || eobs || '.' END) AS clinical_text
+FROM (SELECT *, concat_ws('; ',
+      'temperature ' || printf('%.1f', temperature_f) || ' F',
+      'heart rate ' || CAST(CAST(trunc(heart_rate) AS BIGINT) AS VARCHAR) || ' bpm',
+      'respiratory rate ' || CAST(CAST(trunc(respiratory_rate) AS BIGINT) AS VARCHAR) || '/min',
+      CASE WHEN systolic_bp IS NOT NULL AND diastolic_bp IS NOT NULL
+           THEN 'blood pressure ' || CAST(CAST(trunc(systolic_bp) AS BIGINT) AS VARCHAR) || '/'
+                || CAST(CAST(trunc(diastolic_bp) AS BIGINT) AS VARCHAR) || ' mmHg' END,
+      'oxygen saturation ' || CAST(CAST(trunc(oxygen_saturation) AS BIGINT) AS VARCHAR) || '%',
+      'pain score ' || CAST(CAST(trunc(pain_scale) AS BIGINT) AS VARCHAR) || '/10') AS eobs
+      FROM eda) e"""
+
+# Complaints in long form (slot 1..5), nulls dropped.
+VIEWS["complaints_long"] = """
+SELECT visit_row, target, 'RFV1_description' AS slot, RFV1_description AS complaint FROM eda WHERE RFV1_description IS NOT NULL
+UNION ALL SELECT visit_row, target, 'RFV2_description', RFV2_description FROM eda WHERE RFV2_description IS NOT NULL
+UNION ALL SELECT visit_row, target, 'RFV3_description', RFV3_description FROM eda WHERE RFV3_description IS NOT NULL
+UNION ALL SELECT visit_row, target, 'RFV4_description', RFV4_description FROM eda WHERE RFV4_description IS NOT NULL
+UNION ALL SELECT visit_row, target, 'RFV5_description', RFV5_description FROM eda WHERE RFV5_description IS NOT NULL"""
+
+# Label x class crosstab of complaints with totals and row rates.
+VIEWS["complaint_summary"] = """
+SELECT complaint,
+  CAST(count(*) FILTER (WHERE target = 'normal') AS BIGINT) AS normal,
+  CAST(count(*) FILTER (WHERE target = 'atencao') AS BIGINT) AS atencao,
+  CAST(count(*) FILTER (WHERE target = 'urgente') AS BIGINT) AS urgente,
+  CAST(count(*) AS BIGINT) AS total,
+  round(count(*) FILTER (WHERE target = 'normal') / count(*), 6) AS normal_rate,
+  round(count(*) FILTER (WHERE target = 'atencao') / count(*), 6) AS atencao_rate,
+  round(count(*) FILTER (WHERE target = 'urgente') / count(*), 6) AS urgente_rate
+FROM complaints_long GROUP BY complaint"""
+
+VIEWS["diagnosis_summary"] = """
+SELECT primary_diagnosis,
+  CAST(count(*) FILTER (WHERE target = 'normal') AS BIGINT) AS normal,
+  CAST(count(*) FILTER (WHERE target = 'atencao') AS BIGINT) AS atencao,
+  CAST(count(*) FILTER (WHERE target = 'urgente') AS BIGINT) AS urgente,
+  CAST(count(*) AS BIGINT) AS total,
+  round(count(*) FILTER (WHERE target = 'normal') / count(*), 6) AS normal_rate,
+  round(count(*) FILTER (WHERE target = 'atencao') / count(*), 6) AS atencao_rate,
+  round(count(*) FILTER (WHERE target = 'urgente') / count(*), 6) AS urgente_rate
+FROM (SELECT coalesce(DIAG1_description, DIAG1_code) AS primary_diagnosis, target FROM eda) d
+WHERE primary_diagnosis IS NOT NULL GROUP BY primary_diagnosis"""
+
 # Dependencies between views (topological order of the CTE list).
 DEPS = {
     "visits": ["_rfv"],
     "eda": ["visits", "sex_codebook", "rfv_codebook", "diag_ref"],
     "train_text": ["eda"],
     "training": ["train_text"],
+    "eda_text": ["eda"],
+    "complaints_long": ["eda"],
+    "complaint_summary": ["complaints_long"],
+    "diagnosis_summary": ["eda"],
 }
 
 

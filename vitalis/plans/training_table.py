@@ -18,6 +18,7 @@ from vitalis.functions import nulls as N
 from vitalis.functions import text as X
 from vitalis.operators import clean as C
 from vitalis.operators.split import assign_splits
+from vitalis.session import materialize
 from vitalis.sources import fixtures as FX
 
 
@@ -43,18 +44,24 @@ def decoded_visits(visits: DataFrame, rfv_codebook: DataFrame, sex_codebook: Dat
 
 def training_rows(decoded: DataFrame, version: str = S.DATASET_VERSION) -> DataFrame:
     """Text, id and hash per visit, before the split."""
-    text = X.normalize_text(X.clinical_text(eda=False))
-    base = decoded.select(
+    raw = decoded.select("visit_row", "target", X.clinical_text(eda=False).alias("_raw"))
+    text, hashed = X.normalize_with_hash("_raw")
+    return raw.select(
         X.record_id("visit_row", version).alias("record_id"),
         text.alias("clinical_text"),
         "target",
+        hashed.alias("text_hash"),
         F.lit(version).alias("dataset_version"))
-    return base.withColumn("text_hash", X.text_hash("clinical_text"))
 
 
 def build_training_table(visits: DataFrame, rfv_codebook: DataFrame, sex_codebook: DataFrame,
-                         version: str = S.DATASET_VERSION) -> DataFrame:
+                         version: str = S.DATASET_VERSION, materialize_rows: bool = True) -> DataFrame:
+    """The split reads the rows twice (group sizes, then the join back), so
+    the rows are written once to the checkpoint folder first: the decode,
+    template and UDF run exactly once and the lineage is cut."""
     rows = training_rows(decoded_visits(visits, rfv_codebook, sex_codebook), version)
+    if materialize_rows:
+        rows = materialize(rows, "training-rows")
     return assign_splits(rows).select(*S.TRAINING_COLUMNS)
 
 

@@ -49,12 +49,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in
     ``spark.checkpoint.dir``; only when unset (local tests) a scratch
     folder is created and registered."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        # Local runs and tests only: no shared folder was configured.
         current = tempfile.mkdtemp(prefix="vitalis-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as parquet under the shared checkpoint
+    folder and reading it back. Survives executor loss (unlike cached or
+    locally checkpointed blocks) and lets later stages scan it cheaply."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vitalis-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def small_enough(df, max_rows: int) -> bool:
+    """Proven size bound before a broadcast: reads at most ``max_rows + 1``
+    rows (the scan stops early), so the check itself stays cheap."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+# Largest dimension broadcast to every task (rows); beyond it, shuffle joins.
+BROADCAST_MAX_ROWS = 500_000
