@@ -25,11 +25,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        # toPandas turns nullable ints into floats; compare integral values as ints
+        if v.is_integer() and abs(v) < 2**53:
+            return int(v)
         return round(v, 6) + 0.0
     if hasattr(v, "tolist"):
         v = v.tolist()

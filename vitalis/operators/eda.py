@@ -132,9 +132,9 @@ def majority_accuracy(eda: DataFrame, label: str = "RFV1_description") -> DataFr
     divided by **all** rows (NULL labels count in the denominator only)."""
     per = (eda.where(F.col(label).isNotNull()).groupBy(label, "target").count()
               .groupBy(label).agg(F.max("count").alias("m")))
-    num = per.agg(F.sum("m").alias("num"))
-    den = eda.agg(F.count(F.lit(1)).alias("den"))
-    return num.join(den, F.lit(True)).select(F.round(F.col("num") / F.col("den"), 6).alias("majority_accuracy"))
+    num = per.agg(F.sum("m").alias("num"), F.lit(0).alias("_g"))
+    den = eda.agg(F.count(F.lit(1)).alias("den"), F.lit(0).alias("_g"))
+    return num.join(den, "_g").select(F.round(F.col("num") / F.col("den"), 6).alias("majority_accuracy"))
 
 
 def head_per_group(df: DataFrame, part: str, order: Sequence[Column], n: int) -> DataFrame:
