@@ -63,3 +63,66 @@ def schema_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
         "column", dt[F.col("column")].alias("dtype"), F.col("nulls").cast("bigint").alias("nulls"),
         F.when(F.col("rows") > 0, F.col("nulls") / F.col("rows")).otherwise(F.lit(0.0)).alias("null_rate"),
         F.col("unique_values").cast("bigint").alias("unique_values"))
+
+
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """``agg_duplicate_rows``: rows and copies after the first (NULL equals
+    NULL), from one group-by over the full row: one shuffle, map-side
+    partial counts, no second distinct pass."""
+    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return g.agg(F.sum("_n").alias("rows"), F.sum(F.col("_n") - 1).alias("duplicate_rows"))
+
+
+def duplicate_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``agg_duplicate_key``: rows with a missing key part, and rows beyond
+    the first per key."""
+    miss = F.lit(False)
+    for k in keys:
+        miss = miss | F.col(k).isNull()
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count_if(miss).alias("_m"))
+    return g.agg(F.sum("_m").cast("bigint").alias("missing_keys"),
+                 F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicated_keys"))
+
+
+def binary_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``agg_binary_column``: non-null values outside {0, 1}, per column,
+    in one pass."""
+    row = df.agg(*[F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(0, 1)).alias(f"{c}__invalid_rows")
+                   for c in cols])
+    return unpivot_stats(row, list(cols), ["invalid_rows"], "column")
+
+
+def describe_lengths(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``agg_text_describe``: count, mean, sample std, min, 5/50/95 %
+    (linear interpolation) and max per numeric column, one pass. Exact
+    percentiles hold a value->count map, bounded by distinct lengths."""
+    aggs = []
+    for c in cols:
+        q = F.percentile(F.col(c), [0.05, 0.5, 0.95])
+        aggs += [F.count(c).alias(f"{c}__count"), F.round(F.avg(c), 6).alias(f"{c}__mean"),
+                 F.round(F.stddev_samp(c), 6).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
+                 F.round(q[0], 6).alias(f"{c}__p05"), F.round(q[1], 6).alias(f"{c}__p50"),
+                 F.round(q[2], 6).alias(f"{c}__p95"), F.max(c).cast("double").alias(f"{c}__max")]
+    return unpivot_stats(df.agg(*aggs), list(cols),
+                         ["count", "mean", "std", "min", "p05", "p50", "p95", "max"], "measure")
+
+
+def split_audit(df: DataFrame, group: str = "text_hash", target: str = "target", split: str = "split") -> DataFrame:
+    """``agg_split_audit``: unique texts, repeated / conflicting / crossing
+    groups, and the largest class-share drift of any split from the whole
+    table in percentage points. Two grouped passes; the drift is computed on
+    the (split x class) table, at most 9 rows."""
+    g = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(target).alias("nt"),
+                              F.countDistinct(split).alias("ns"))
+    groups = g.agg(F.count(F.lit(1)).alias("unique_texts"), F.count_if(F.col("n") > 1).alias("repeated_groups"),
+                   F.count_if(F.col("nt") > 1).alias("conflicting_groups"),
+                   F.count_if(F.col("ns") > 1).alias("crossing_groups"), F.lit(0).alias("_g"))
+    st = df.groupBy(split, target).agg(F.count(F.lit(1)).alias("c"))
+    w_split = Window.partitionBy(split)
+    w_tgt = Window.partitionBy(target)
+    w_all = Window.partitionBy(F.lit(0))
+    st = st.select(split, target, (F.col("c") / F.sum("c").over(w_split)).alias("sr"),
+                   (F.sum("c").over(w_tgt) / F.sum("c").over(w_all)).alias("gr"))
+    drift = st.agg(F.round(F.max(F.abs(F.col("sr") - F.col("gr"))) * 100, 6).alias("max_drift_points"),
+                   F.lit(0).alias("_g"))
+    return groups.join(drift, "_g").drop("_g")
