@@ -212,12 +212,14 @@ def token_count(c: str | Column) -> Column:
 
 
 def ngrams_1_2(tokens: str | Column) -> Column:
-    """``fn_ngrams``: unigrams followed by space-joined bigrams."""
+    """``fn_ngrams``: unigrams followed by space-joined bigrams. Pass a
+    column reference: ``zip_with`` over two slices reads each array once
+    (a lambda indexing into an inlined expression would re-run it per
+    element)."""
     tk = _c(tokens)
-    bigrams = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(tk) - 1, F.lit(1))),
-        lambda i: F.concat_ws(" ", F.element_at(tk, i), F.element_at(tk, i + 1)))
-    return F.when(F.size(tk) >= 2, F.concat(tk, bigrams)).otherwise(tk)
+    m = F.greatest(F.size(tk) - 1, F.lit(0))
+    bigrams = F.zip_with(F.slice(tk, 1, m), F.slice(tk, 2, m), lambda a, b: F.concat_ws(" ", a, b))
+    return F.concat(tk, bigrams)
 
 
 def status(passed: str | Column) -> Column:

@@ -250,6 +250,8 @@ def with_views(views: list[str], body: str) -> str:
     names = _expand(views)
     ctes = [f"{n} AS ({VIEWS[n]}\n)" for n in names]
     b = body.strip()
+    if not ctes:
+        return b
     if b[:4].upper() == "WITH":
         return "WITH " + ",\n".join(ctes) + ",\n" + b[4:].lstrip()
     if not ctes:
