@@ -36,11 +36,11 @@ def _p95_cte(src: str) -> str:
     return f"""
 g AS (SELECT window_start, count(*) AS n, quantile_cont(duration_s, 0.95) AS exact, [{cnt}] AS c FROM ({src}) s
       GROUP BY window_start),
-h AS (SELECT *, list_position(list_transform(c, lambda x: x >= 0.95 * n), true) AS b,
+h AS (SELECT *, list_position(list_transform(c, lambda x: x >= 0.95E0 * n), true) AS b,
         list_concat([0], c[1:{len(b) - 1}]) AS prev FROM g),
 p AS (SELECT window_start, n AS requests,
-        round(CASE WHEN b = {len(b)} THEN {DUR[-1]!r}
-          ELSE {lb}[b] + ({ub}[b] - {lb}[b]) * (0.95 * n - prev[b]) / (c[b] - prev[b]) END, 4) AS p95_bucket,
+        CASE WHEN b = {len(b)} THEN {DUR[-1]!r}
+          ELSE {lb}[b] + ({ub}[b] - {lb}[b]) * (0.95E0 * n - prev[b]) / (c[b] - prev[b]) END AS p95_bucket,
         round(exact, 6) AS p95_exact FROM h)"""
 
 

@@ -87,8 +87,9 @@ def hist_quantile(df: DataFrame, value: str, q: float, buckets: Sequence[float],
     interp = lo + (hi - lo) * (rank - cp) / (cb - cp)
     est = F.when(F.col("_b") == len(bounds), top).otherwise(interp)
     return g.select(F.col("w.start").alias("window_start"), F.col("n").alias("requests"),
-                    # bucket estimate reported at 0.1 ms resolution
-                    F.round(est, 4).alias(f"p{int(q * 100)}_bucket"), F.round("exact", 6).alias(f"p{int(q * 100)}_exact"))
+                    # unrounded: the same IEEE arithmetic in any engine gives the
+                    # same double, while engine-side rounding differs at ties
+                    est.alias(f"p{int(q * 100)}_bucket"), F.round("exact", 6).alias(f"p{int(q * 100)}_exact"))
 
 
 def avg_confidence(df: DataFrame, size: str = WINDOW, slide: str | None = SLIDE) -> DataFrame:
