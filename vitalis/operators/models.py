@@ -130,9 +130,11 @@ def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1
     wt = counts.select("label_id", (F.sum("count").over(w) / (F.count(F.lit(1)).over(w) * F.col("count"))).alias("weight"))
     data = materialize(feats.join(F.broadcast(wt), "label_id").select("features", "label_id", "weight"), "lr-train")
     n = data.count()
+    # tol = 1e-4: the stopping tolerance of the reference solver (library
+    # default); Spark's own default (1e-6) iterates far past it.
     lr = MC.LogisticRegression(featuresCol="features", labelCol="label_id", weightCol="weight", maxIter=max_iter,
                                regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
-                               family="multinomial")
+                               family="multinomial", tol=1e-4)
     model = lr.fit(data)
     back = MF.IndexToString(inputCol="prediction", outputCol="predicted_target", labels=idx.labels)
     return PipelineModel(stages=[idx, *pre.stages, scale, norm, model, back])

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # run time, skew-join splits hot partitions, UTC pins event-time semantics.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
