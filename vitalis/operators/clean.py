@@ -47,11 +47,18 @@ def target_ordinal(c: str | Column = "target") -> Column:
 def decode(df: DataFrame, codebook: DataFrame, code_col: str, out_col: str,
            positive_only: bool = True) -> DataFrame:
     """``prj_code_label`` / ``join_small_dim``: left lookup, NULL when
-    unmapped. Code books are dimensions: Spark broadcasts them when their
-    runtime size is under the broadcast threshold (AQE), else shuffles."""
+    unmapped. A code book whose size is proven under
+    :data:`BROADCAST_MAX_ROWS` is broadcast explicitly: in-memory or
+    derived dimensions carry no size statistics, and a shuffle join on a
+    low-cardinality code (two sex codes) would put every fact row into as
+    many tasks as there are codes. Larger code books take a shuffle join."""
+    from vitalis.session import BROADCAST_MAX_ROWS, small_enough
+
     cb = codebook.select(F.col("code").alias("_code"), F.col("label").alias(out_col))
     if positive_only:
         cb = cb.where(F.col("_code") > 0)
+    if small_enough(cb, BROADCAST_MAX_ROWS):
+        cb = F.broadcast(cb)
     return df.join(cb, df[code_col] == cb["_code"], "left").drop("_code")
 
 
