@@ -24,6 +24,9 @@ from vitalis.functions import text as X
 
 RANDOM_STATE = 42
 
+# Seconds of the last optimiser run of ``fit_text_logistic`` (bench metric).
+LAST_FIT_SECONDS: dict[str, float] = {}
+
 
 def majority_rule_predictions(df: DataFrame, label: str, target: str) -> DataFrame:
     """Majority class per ``label`` value (smallest class on ties); rows
@@ -135,7 +138,10 @@ def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1
     lr = MC.LogisticRegression(featuresCol="features", labelCol="label_id", weightCol="weight", maxIter=max_iter,
                                regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
                                family="multinomial", tol=1e-4)
+    t0 = time.perf_counter()
     model = lr.fit(data)
+    LAST_FIT_SECONDS["text_logistic"] = time.perf_counter() - t0
+    LAST_FIT_SECONDS["train_rows"] = float(n)
     back = MF.IndexToString(inputCol="prediction", outputCol="predicted_target", labels=idx.labels)
     return PipelineModel(stages=[idx, *pre.stages, scale, norm, model, back])
 
