@@ -91,15 +91,26 @@ def auc_binary(df: DataFrame, y: str = "y_true", score: str = "score", n_buckets
     return auc_from_hist(hist, n_buckets)
 
 
+def _quantile_buckets(hist: DataFrame, n_buckets: int) -> DataFrame:
+    """Bucket id per distinct score from approximate quantiles of the
+    distinct scores (a bounded sketch, at most ``n_buckets`` boundaries
+    reach the driver), so a dense cluster of scores cannot pile into one
+    bucket the way equal-width buckets would."""
+    from pyspark.ml.feature import Bucketizer
+
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = sorted(set(hist.approxQuantile("s", probs, 1.0 / (4 * n_buckets)))) if n_buckets > 1 else []
+    splits = [float("-inf"), *cuts, float("inf")]
+    out = Bucketizer(splits=splits, inputCol="s", outputCol="_bd", handleInvalid="keep").transform(hist)
+    return out.withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
+
+
 def auc_from_hist(hist: DataFrame, n_buckets: int = 1024, keys: list[str] | None = None) -> DataFrame:
-    """AUC per group of ``keys`` from a (s, pos, neg) histogram."""
+    """AUC per group of ``keys`` from a (s, pos, neg) histogram. Buckets:
+    quantiles of the distinct scores (one sketch over all groups)."""
     if not keys:
         hist, keys = hist.withColumn("_g", F.lit(0)), ["_g"]
-    rng = hist.groupBy(*keys).agg(F.min("s").alias("_lo"), F.max("s").alias("_hi"))
-    h = hist.join(F.broadcast(rng), keys)
-    width = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
-    h = h.withColumn("_b", F.least(F.floor((F.col("s") - F.col("_lo")) / width * n_buckets),
-                                   F.lit(n_buckets - 1)).cast("int"))
+    h = _quantile_buckets(hist, n_buckets)
     per_b = h.groupBy(*keys, "_b").agg(F.sum("neg").alias("_bn"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offs = per_b.select(*keys, "_b", (F.sum("_bn").over(wb) - F.col("_bn")).alias("_off"))

@@ -129,10 +129,18 @@ def impute_mode(df: DataFrame, col: str, mode: DataFrame | None = None) -> DataF
     return j.select(*[F.coalesce(F.col(c), F.col("mode")).alias(c) if c == col else F.col(c) for c in df.columns])
 
 
-def categories(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct categories (a bounded, grouped result: categorical
-    columns only)."""
-    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+MAX_CATEGORIES = 10_000
+
+
+def categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list[str]:
+    """Sorted distinct categories. Only a bounded result may reach the
+    driver: more than ``max_categories`` values raises (such a column is an
+    identifier, not a category) instead of being silently truncated."""
+    vals = (df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
+              .limit(max_categories + 1).collect())
+    if len(vals) > max_categories:
+        raise ValueError(f"{col} has more than {max_categories} categories")
+    return [r[0] for r in vals]
 
 
 def onehot(df: DataFrame, col: str, cats: Sequence[str], prefix: str = "cat__", keep: Sequence[str] = (),
