@@ -29,8 +29,10 @@ def crosstab(df: DataFrame, label: str, target: str = "target",
              classes: Sequence[str] = S.TARGET_ORDER, rates: bool = True) -> DataFrame:
     """``agg_crosstab`` + ``agg_row_rates``: label x class counts (missing
     classes 0), row total and class share per row. NULL labels dropped."""
-    p = (df.where(F.col(label).isNotNull())
-           .groupBy(label).pivot(target, list(classes)).count().na.fill(0, list(classes)))
+    # Fixed class list: conditional counts in one hash aggregate (no pivot
+    # value discovery, no pivot-first phase, missing classes count 0).
+    p = (df.where(F.col(label).isNotNull()).groupBy(label)
+           .agg(*[F.count_if(F.col(target) == c).alias(c) for c in classes]))
     total = sum((F.col(c) for c in classes[1:]), F.col(classes[0]))
     p = p.select(label, *[F.col(c).cast("bigint").alias(c) for c in classes], total.cast("bigint").alias("total"))
     if rates:
@@ -48,8 +50,8 @@ def pair_pivot(eda: DataFrame, min_total: int = 15) -> DataFrame:
     """``agg_pair_pivot``: primary complaint x primary diagnosis x class."""
     d = eda.select("RFV1_description", primary_diagnosis().alias("primary_diagnosis"), "target")
     d = d.where(F.col("RFV1_description").isNotNull() & F.col("primary_diagnosis").isNotNull())
-    p = d.groupBy("RFV1_description", "primary_diagnosis").pivot("target", list(S.TARGET_ORDER)).count()
-    p = p.na.fill(0, list(S.TARGET_ORDER))
+    p = d.groupBy("RFV1_description", "primary_diagnosis").agg(
+        *[F.count_if(F.col("target") == c).alias(c) for c in S.TARGET_ORDER])
     total = F.col("normal") + F.col("atencao") + F.col("urgente")
     return (p.select("RFV1_description", "primary_diagnosis",
                      *[F.col(c).cast("bigint").alias(c) for c in S.TARGET_ORDER],
