@@ -15,10 +15,30 @@ TABLES = (
 )
 
 
+# Tables whose rows feed CPU-heavy per-row work (templated text, regexes,
+# tokenisers, hashes), with their unique key.
+SPREAD_KEYS = {"orders": "o_orderkey", "documents": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one driver table; Catalyst prunes columns and pushes
-    filters into the scan, so callers just ``select``/``where``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    filters into the scan (through :func:`spread` too), so callers just
+    ``select``/``where``."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the session has task
+    slots (a small table landed as one file or row group: one task would
+    run all the per-row work) over every slot by a hash of its key. A large
+    input already has more partitions than slots and passes through with
+    no shuffle. Hashing an expression of the key (not the key itself)
+    keeps later ``groupBy``/window exchanges, and their reuse, unchanged."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if slots <= 1 or df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, F.xxhash64(key))
 
 
 def projected_scan(spark: SparkSession, path: str, columns: Iterable[str],
