@@ -101,13 +101,16 @@ def factory_table(spark) -> DataFrame:
 
 # --- text logistic model (TF-IDF + balanced multinomial logistic) ---------------------
 
-def text_features(pattern: str = X.TOKEN_RE_ASCII[1:-1]):
-    """Tokeniser + unigram/bigram terms stages (lower-cased, no word
-    boundaries, as the vectoriser contract)."""
-    tok = MF.RegexTokenizer(inputCol="clinical_text", outputCol="_tok", pattern=pattern, gaps=False, toLowercase=True)
-    ngr = MF.NGram(n=2, inputCol="_tok", outputCol="_bi")
-    cat = MF.SQLTransformer(statement="SELECT *, concat(_tok, _bi) AS _terms FROM __THIS__")
-    return [tok, ngr, cat]
+def text_features(pattern: str = X.TOKEN_RE_ASCII):
+    """Tokens (lower-cased regex matches, no word boundaries, as the
+    vectoriser contract) followed by their space-joined bigrams, as one
+    built-in SQL expression stage: it stays in whole-stage codegen, where
+    the tokenizer and n-gram transformers are per-row Scala UDFs."""
+    tokens = f"regexp_extract_all(lower(clinical_text), '{pattern}', 1)"
+    return [MF.SQLTransformer(statement=(
+        "SELECT *, concat(_tk, zip_with(slice(_tk, 1, greatest(size(_tk) - 1, 0)), "
+        "slice(_tk, 2, greatest(size(_tk) - 1, 0)), (a, b) -> concat_ws(' ', a, b))) AS _terms "
+        f"FROM (SELECT *, {tokens} AS _tk FROM __THIS__)"))]
 
 
 def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1000,
@@ -115,24 +118,29 @@ def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1
     """``ml_logistic``: TF-IDF (1-2 grams, min_df, capped vocabulary, smooth
     IDF + 1, L2) and balanced multinomial logistic regression with the
     summed-loss L2 strength of C=1 (``regParam = 1 / n`` on a loss that
-    Spark averages over the balanced weights, which sum to ``n``)."""
+    Spark averages over the balanced weights, which sum to ``n``).
+
+    Passes over the text: one to fit the vocabulary, one to write the
+    term counts with label and weight to the checkpoint folder; document
+    frequencies and the optimiser read that table."""
     from vitalis.session import materialize
 
     idx = MF.StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc").fit(train)
     pre = Pipeline(stages=[*text_features(),
                            MF.CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=float(min_df),
                                               vocabSize=vocab)]).fit(train)
-    tf = pre.transform(idx.transform(train))
+    labelled = idx.transform(train)
+    counts = labelled.groupBy("label_id").count()
+    w = Window.partitionBy(F.lit(0))
+    wt = counts.select("label_id", (F.sum("count").over(w) / (F.count(F.lit(1)).over(w) * F.col("count"))).alias("weight"))
+    tf = materialize(pre.transform(labelled.join(F.broadcast(wt), "label_id")).select("_tf", "label_id", "weight"),
+                     "lr-train")
     idf = MF.IDF(inputCol="_tf", outputCol="_idf").fit(tf)
     # Spark's IDF is ln((n+1)/(df+1)); the contract adds 1: tf * (idf + 1).
     scale = MF.ElementwiseProduct(scalingVec=DenseVector(idf.idf.toArray() + 1.0), inputCol="_tf", outputCol="_w")
     norm = MF.Normalizer(p=2.0, inputCol="_w", outputCol="features")
-    feats = norm.transform(scale.transform(tf))
-    counts = feats.groupBy("label_id").count()
-    w = Window.partitionBy(F.lit(0))
-    wt = counts.select("label_id", (F.sum("count").over(w) / (F.count(F.lit(1)).over(w) * F.col("count"))).alias("weight"))
-    data = materialize(feats.join(F.broadcast(wt), "label_id").select("features", "label_id", "weight"), "lr-train")
-    n = data.count()
+    data = norm.transform(scale.transform(tf)).select("features", "label_id", "weight")
+    n = int(idf.numDocs)
     # tol = 1e-4: the stopping tolerance of the reference solver (library
     # default); Spark's own default (1e-6) iterates far past it.
     lr = MC.LogisticRegression(featuresCol="features", labelCol="label_id", weightCol="weight", maxIter=max_iter,

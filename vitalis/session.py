@@ -66,15 +66,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, partition_by: tuple[str, ...] = ()):
     """Cut lineage by writing ``df`` as parquet under the shared checkpoint
     folder and reading it back. Survives executor loss (unlike cached or
-    locally checkpointed blocks) and lets later stages scan it cheaply."""
+    locally checkpointed blocks) and lets later stages scan it cheaply;
+    with ``partition_by`` a filter on those columns prunes whole folders."""
     import uuid
 
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/vitalis-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return spark.read.parquet(path)
 
 
