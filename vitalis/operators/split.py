@@ -34,12 +34,16 @@ def group_folds(df: DataFrame, group_col: str = "text_hash", strat_col: str = "t
     # Stratum as an int ordinal (alphabetical, so min = string min) keeps
     # the aggregate buffer fixed-width: hash aggregate, not sort aggregate.
     strata = F.array(*[F.lit(t) for t in sorted(S.TARGET_ORDER)])
+    # Stratum and bucket are made non-nullable: otherwise the join below
+    # infers IS NOT NULL filters that Catalyst pushes under the group-by
+    # into the scan, the two uses of ``groups`` stop being identical and the
+    # whole-table aggregate runs twice instead of reusing one exchange.
     groups = (df.groupBy(group_col)
-                .agg(F.min(F.array_position(strata, F.col(strat_col))).alias("_stratum"),
+                .agg(F.coalesce(F.min(F.array_position(strata, F.col(strat_col))), F.lit(0)).alias("_stratum"),
                      F.count(F.lit(1)).alias("_n")))
     h = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(group_col)), 256)
     groups = groups.select("*", h.alias("_h")).withColumn(
-        "_bucket", F.conv(F.substring("_h", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int"))
+        "_bucket", F.coalesce(F.conv(F.substring("_h", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int"), F.lit(0)))
 
     # Small table: rows per (stratum, bucket) and their prefix offsets.
     per_bucket = groups.groupBy("_stratum", "_bucket").agg(F.sum("_n").alias("_bn"))
