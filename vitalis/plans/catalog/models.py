@@ -31,8 +31,7 @@ def _scratch(spark, name):
 
 
 def _train_valid_text(spark, sf):
-    t = materialize(training_table(spark, sf).select("record_id", "clinical_text", "target", "split"), "text-splits",
-                    partition_by=("split",))
+    t = training_table(spark, sf).select("record_id", "clinical_text", "target", "split")
     return t.where(F.col("split") == "train"), t.where(F.col("split") == "validation")
 
 

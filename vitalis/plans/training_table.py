@@ -58,11 +58,17 @@ def build_training_table(visits: DataFrame, rfv_codebook: DataFrame, sex_codeboo
                          version: str = S.DATASET_VERSION, materialize_rows: bool = True) -> DataFrame:
     """The split reads the rows twice (group sizes, then the join back), so
     the rows are written once to the checkpoint folder first: the decode,
-    template and UDF run exactly once and the lineage is cut."""
+    template and UDF run exactly once and the lineage is cut. The finished
+    table is written too, partitioned by ``split``: every gate, report and
+    fit reads it again, and a split filter then prunes whole folders
+    instead of recomputing the split. ``materialize_rows=False`` keeps the
+    whole build lazy (fail-fast checks surface at the first action)."""
     rows = training_rows(decoded_visits(visits, rfv_codebook, sex_codebook), version)
-    if materialize_rows:
-        rows = materialize(rows, "training-rows")
-    return assign_splits(rows).select(*S.TRAINING_COLUMNS)
+    if not materialize_rows:
+        return assign_splits(rows).select(*S.TRAINING_COLUMNS)
+    rows = materialize(rows, "training-rows")
+    table = materialize(assign_splits(rows).select(*S.TRAINING_COLUMNS), "training-table", partition_by=("split",))
+    return table.select(*S.TRAINING_COLUMNS)
 
 
 def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
