@@ -15,11 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Coalesced partitions are sized by shuffle bytes; the text template,
-    # regexes and hashes after a small shuffle are CPU-heavy, so a small
-    # shuffle must still spread over every core. Large shuffles are sized
-    # by the advisory partition size (64 MB) as usual.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # A broadcast side must stay small; anything larger goes through a
