@@ -72,15 +72,17 @@ def encode_pad(docs: DataFrame, doc: str, text: str, vocab: DataFrame, max_len:
     ids (unknown -> 1), right-padded with 0. Per-document work is bounded
     by ``max_len``; the capped vocabulary is broadcast."""
     toks = F.slice(X.tokenize(text, pattern, 0), 1, max_len)
-    pos = docs.select(F.col(doc).alias("doc"), F.posexplode(toks).alias("pos", "token"))
+    # posexplode_outer keeps token-less documents as one row with a NULL
+    # position (collect_list skips the NULL entry), so no join back to the
+    # document list is needed.
+    pos = docs.select(F.col(doc).alias("doc"), F.posexplode_outer(toks).alias("pos", "token"))
     ids = pos.join(F.broadcast(vocab), "token", "left").select(
-        "doc", "pos", F.coalesce(F.col("id"), F.lit(1)).alias("id"))
-    seq = ids.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_s"))
+        "doc", F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce(F.col("id"), F.lit(1)).alias("id")))
+        .alias("_e"))
+    seq = ids.groupBy("doc").agg(F.array_sort(F.collect_list("_e")).alias("_s"))
     seq = seq.select("doc", F.transform("_s", lambda s: s["id"]).alias("_ids"))
-    all_docs = docs.select(F.col(doc).alias("doc"))
-    j = all_docs.join(seq, "doc", "left").select("doc", F.coalesce("_ids", F.array().cast("array<int>")).alias("_ids"))
     pad = F.array_repeat(F.lit(0), F.lit(max_len) - F.size("_ids"))
-    return j.select(F.col("doc").alias(doc), F.concat("_ids", pad).alias("token_ids"))
+    return seq.select(F.col("doc").alias(doc), F.concat("_ids", pad).alias("token_ids"))
 
 
 def text_checks(docs: DataFrame, text: str) -> DataFrame:
