@@ -141,49 +141,66 @@ UNION ALL SELECT 'Temporal leakage contract', true, 'No overlap'"""
 
 @register("dq_source_gates", ["visits", "rfv_codebook"], _SOURCE_SQL)
 def q_dq_source_gates(spark, sf):
-    """Source gates as (gate, passed, observed, status) rows: each gate is
-    a bounded aggregate; the union is a handful of rows."""
+    """Source gates as (gate, passed, observed) rows from three passes over
+    the visits instead of one per gate: (1) every row-level count grouped
+    by the triage code (map-side partial aggregation leaves one row per
+    code, so the gates are derived from a table the size of the code
+    domain), (2) key uniqueness grouped by ``visit_row`` (only the key is
+    shuffled), (3) unmapped complaint codes via an anti join with the code
+    book."""
     v = FX.visits(spark, sf)
-    el = C.eligible(v)
-    keys = v.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("visit_row").alias("nd"),
-                 F.count_if(F.col("visit_row").isNull()).alias("miss"))
-    g1 = keys.select(F.lit("Unique visit rows").alias("gate"),
-                     ((F.col("n") == F.col("nd")) & (F.col("miss") == 0)).alias("passed"),
-                     (F.col("n") - F.col("nd") + F.col("miss")).cast("string").alias("observed"))
-    dom = v.agg(F.coalesce(F.bool_and(F.col("IMMEDR").isin(-9, -8, 0, 1, 2, 3, 4, 5, 7)), F.lit(True)).alias("passed"),
-                F.countDistinct("IMMEDR").cast("string").alias("observed")).select(
-        F.lit("Source target domain").alias("gate"), "passed", "observed")
-    coh = el.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("Eligible modeling cohort").alias("gate"), (F.col("n") > 0).alias("passed"),
-        F.col("n").cast("string").alias("observed"))
-    three = el.agg(F.countDistinct(C.target_expr()).alias("k")).select(
-        F.lit("Three target classes").alias("gate"), (F.col("k") == 3).alias("passed"),
-        F.col("k").cast("string").alias("observed"))
-    demo = _demographics(v).agg(F.bool_and("valid").alias("ok")).select(
-        F.lit("Demographic domains").alias("gate"), F.col("ok").alias("passed"),
-        F.when(F.col("ok"), "valid").otherwise("invalid").alias("observed"))
+    immedr = F.col("IMMEDR")
+    age, days = F.col("AGE"), F.col("AGEDAYS")
+    bad_vitals = sum((F.count_if(N.is_usable(r.source, r.sentinels) & ~N.in_domain(r.source, r.lower, r.upper))
+                      for r in S.VITAL_RULES[1:]),
+                     F.count_if(N.is_usable(S.VITAL_RULES[0].source, S.VITAL_RULES[0].sentinels)
+                                & ~N.in_domain(S.VITAL_RULES[0].source, S.VITAL_RULES[0].lower,
+                                               S.VITAL_RULES[0].upper)))
+    per_code = v.groupBy("IMMEDR").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(~age.between(0, 93)).alias("age_bad"),
+        (F.count_if((age == 0) & days.between(0, 365)) + F.count_if((age >= 1) & (days == -7))).alias("age_ok"),
+        F.count_if(~F.col("SEX").isin(1, 2)).alias("sex_bad"),
+        bad_vitals.alias("bad"),
+        F.count_if(F.col("RFV1") > 0).alias("rfv1"))
+    eligible = immedr.isin(list(S.TARGET_MAP))
+    row = per_code.agg(
+        F.coalesce(F.bool_and(immedr.isin(-9, -8, 0, 1, 2, 3, 4, 5, 7)), F.lit(True)).alias("dom_ok"),
+        F.count(immedr).alias("codes"),
+        F.coalesce(F.sum(F.when(eligible, F.col("n"))), F.lit(0)).alias("el_n"),
+        F.coalesce(F.sum(F.when(eligible, F.col("rfv1"))), F.lit(0)).alias("el_k"),
+        F.countDistinct(F.when(eligible, C.target_expr())).alias("classes"),
+        ((F.sum("age_bad") == 0) & (F.sum("age_ok") == F.sum("n")) & (F.sum("sex_bad") == 0)).alias("demo_ok"),
+        F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
+        F.lit(0).alias("_g"))
+    keys = (v.groupBy("visit_row").agg(F.count(F.lit(1)).alias("c"))
+              .agg(F.coalesce(F.sum(F.when(F.col("visit_row").isNotNull(), F.col("c") - 1)), F.lit(0)).alias("dup"),
+                   F.coalesce(F.sum(F.when(F.col("visit_row").isNull(), F.col("c"))), F.lit(0)).alias("miss"),
+                   F.lit(0).alias("_g")))
     long = v.unpivot(["visit_row"], list(S.RFV_COLUMNS), "slot", "code").where(F.col("code") > 0)
     un = long.join(FX.rfv_codebook(spark, sf).select("code"), "code", "left_anti").agg(
         F.count(F.lit(1)).alias("un"), F.lit(0).alias("_g"))
-    cov = el.agg(F.count_if(F.col("RFV1") > 0).alias("k"), F.count(F.lit(1)).alias("n"), F.lit(0).alias("_g"))
-    rfv = un.join(cov, "_g").select(
-        F.lit("RFV mapping and primary coverage").alias("gate"),
-        ((F.col("un") == 0) & (F.col("k") >= S.GATE_MIN_PRIMARY_COVERAGE * F.col("n"))).alias("passed"),
-        F.floor(10000 * F.col("k") / F.col("n")).cast("bigint").cast("string").alias("observed"))
-    bad = sum((F.count_if(N.is_usable(r.source, r.sentinels) & ~N.in_domain(r.source, r.lower, r.upper))
-               for r in S.VITAL_RULES[1:]),
-              F.count_if(N.is_usable(S.VITAL_RULES[0].source, S.VITAL_RULES[0].sentinels)
-                         & ~N.in_domain(S.VITAL_RULES[0].source, S.VITAL_RULES[0].lower, S.VITAL_RULES[0].upper)))
-    vit = v.agg(bad.alias("bad")).select(F.lit("Vital representation domains").alias("gate"),
-                                         (F.col("bad") == 0).alias("passed"), F.col("bad").cast("string").alias("observed"))
+    j = row.join(keys, "_g").join(un, "_g")
+    # observed for uniqueness: rows - distinct non-null keys + missing keys
+    not_unique = F.col("dup") + 2 * F.col("miss")
+    gates = [
+        ("Unique visit rows", (F.col("dup") == 0) & (F.col("miss") == 0), not_unique.cast("string")),
+        ("Source target domain", F.col("dom_ok"), F.col("codes").cast("string")),
+        ("Eligible modeling cohort", F.col("el_n") > 0, F.col("el_n").cast("string")),
+        ("Three target classes", F.col("classes") == 3, F.col("classes").cast("string")),
+        ("Demographic domains", F.col("demo_ok"), F.when(F.col("demo_ok"), "valid").otherwise("invalid")),
+        ("RFV mapping and primary coverage",
+         (F.col("un") == 0) & (F.col("el_k") >= S.GATE_MIN_PRIMARY_COVERAGE * F.col("el_n")),
+         F.floor(10000 * F.col("el_k") / F.col("el_n")).cast("bigint").cast("string")),
+        ("Vital representation domains", F.col("bad") == 0, F.col("bad").cast("string")),
+    ]
+    rows = j.select(F.explode(F.array(*[
+        F.struct(F.lit(g).alias("gate"), p.alias("passed"), o.alias("observed")) for g, p, o in gates])).alias("r"))
     fixed = spark.createDataFrame([("Required schema", set(S.SOURCE_COLUMNS) <= set(v.columns), "16 required columns"),
                                    ("Temporal leakage contract",
                                     not (set(S.TRIAGE_FEATURE_COLUMNS) & set(S.POST_TRIAGE_COLUMNS)), "No overlap")],
                                   "gate string, passed boolean, observed string")
-    out = fixed
-    for part in (g1, dom, coh, three, demo, rfv, vit):
-        out = out.unionByName(part)
-    return out
+    return fixed.unionByName(rows.select("r.gate", "r.passed", "r.observed"))
 
 
 @register("dq_source_gates_status", ["visits", "rfv_codebook"],
