@@ -36,3 +36,13 @@ def test_spread_only_splits_small_scans(spark):
     assert spread(one, "id").rdd.getNumPartitions() == slots
     many = spark.range(0, 1000, numPartitions=slots + 1)
     assert spread(many, "id") is many
+
+
+def test_split_audit_counts_conflicting_and_crossing_groups(spark):
+    from vitalis.operators.profile import split_audit
+    df = spark.createDataFrame(
+        [("g1", "normal", "train"), ("g1", "urgente", "train"), ("g2", "normal", "train"),
+         ("g2", "normal", "test"), ("g3", "atencao", "validation"), ("g4", None, "train"), ("g4", None, "train")],
+        "text_hash string, target string, split string")
+    r = split_audit(df).first()
+    assert (r["unique_texts"], r["repeated_groups"], r["conflicting_groups"], r["crossing_groups"]) == (4, 3, 1, 1)
