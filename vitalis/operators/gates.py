@@ -97,8 +97,12 @@ def expected_counts(df: DataFrame, rows: int | None = None, classes: Mapping[str
 def metadata_table(df: DataFrame, version: str = S.DATASET_VERSION, seed: int = S.SPLIT_SEED) -> DataFrame:
     """``sink_metadata``: provenance key/value rows; class and split counts
     as key-sorted JSON built from the tiny grouped results."""
+    # One pass: the (class, split) cell counts feed the row count and both
+    # count maps (the three consumers reuse its exchange).
+    cells = df.groupBy("target", "split").agg(F.count(F.lit(1)).alias("count"))
+
     def counts_json(col: str) -> DataFrame:
-        g = df.groupBy(col).count()
+        g = cells.groupBy(col).agg(F.sum("count").alias("count"))
         entry = F.concat(F.lit('"'), F.col(col), F.lit('": '), F.col("count").cast("string"))
         return g.agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(entry)), ", "), F.lit("}"))
                      .alias("value"))
@@ -107,7 +111,8 @@ def metadata_table(df: DataFrame, version: str = S.DATASET_VERSION, seed: int =
         [("dataset_version", version),
          ("split_strategy", "stratified group quota split: 70/15/15 by text_hash"),
          ("random_state", str(seed))], "key string, value string")
-    rc = df.agg(F.count(F.lit(1)).cast("string").alias("value")).select(F.lit("row_count").alias("key"), "value")
+    rc = cells.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("string").alias("value")).select(
+        F.lit("row_count").alias("key"), "value")
     cc = counts_json("target").select(F.lit("class_counts").alias("key"), "value")
     sc = counts_json("split").select(F.lit("split_counts").alias("key"), "value")
     return fixed.unionByName(rc).unionByName(cc).unionByName(sc)
