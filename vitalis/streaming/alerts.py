@@ -47,7 +47,7 @@ def _hold_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = checkpoint_dir(spark).rstrip("/") + f"/vitalis-alerts-{uuid.uuid4().hex}"
     st = MO.stream_requests(spark, sf_dir).withWatermark("ts", MO.WATERMARK)
-    series = MO.rule_series(st, exact=False)
+    series = MO.rule_series(st)
     MO.run_to_parquet(series, f"{base}/series", f"{base}/series-ckpt", "append")
 
     s2 = spark.readStream.schema(spark.read.parquet(f"{base}/series").schema).parquet(f"{base}/series")

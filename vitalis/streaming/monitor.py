@@ -65,31 +65,37 @@ def cumulative_hist(df: DataFrame, value: str, buckets: Sequence[float], size: s
     return g.select(F.col("w.start").alias("window_start"), F.inline(pairs))
 
 
+def _bucket_quantile(q: float, bounds: list[float], n: str = "n") -> Column:
+    """Quantile estimate from cumulative ``le`` count columns ``c0..ck``:
+    linear interpolation inside the first bucket whose cumulative count
+    reaches ``q * n`` (lower bound 0 for the first bucket; the open top
+    bucket returns the highest finite bound)."""
+    cum = F.array(*[F.col(f"c{i}").cast("double") for i in range(len(bounds))])
+    ub = F.array(*[F.lit(b) for b in bounds])
+    lb = F.array(F.lit(0.0), *[F.lit(b) for b in bounds[:-1]])
+    prev = F.array(F.lit(0.0), *[F.col(f"c{i}").cast("double") for i in range(len(bounds) - 1)])
+    rank = F.lit(q) * F.col(n)
+    b = F.array_position(F.transform(cum, lambda c: c >= rank), True).cast("int")
+    top = F.lit(float(bounds[-2]))
+    lo, hi = F.element_at(lb, b), F.element_at(ub, b)
+    cp, cb = F.element_at(prev, b), F.element_at(cum, b)
+    return F.when(b == len(bounds), top).otherwise(lo + (hi - lo) * (rank - cp) / (cb - cp))
+
+
 def hist_quantile(df: DataFrame, value: str, q: float, buckets: Sequence[float], size: str = WINDOW,
                   slide: str | None = None, exact: bool = True) -> DataFrame:
-    """``mon_p95_duration``: quantile by linear interpolation inside the
-    first bucket whose cumulative count reaches ``q * n`` (lower bound 0 for
-    the first bucket; the open top bucket returns the highest finite
-    bound), plus the exact percentile for comparison."""
+    """``mon_p95_duration``: bucket-interpolated quantile per window (see
+    :func:`_bucket_quantile`) from one conditional-count pass, plus the
+    exact percentile for comparison."""
     bounds = _bounds(buckets)
     aggs = [F.count_if(F.col(value) <= F.lit(b)).alias(f"c{i}") for i, b in enumerate(bounds)]
     ex = F.percentile(value, q) if exact else F.lit(None).cast("double")
     g = df.groupBy(windowed(df, size, slide).alias("w")).agg(*aggs, F.count(F.lit(1)).alias("n"), ex.alias("exact"))
-    cum = F.array(*[F.col(f"c{i}").cast("double") for i in range(len(bounds))])
-    ub = F.array(*[F.lit(b) for b in bounds])
-    lb = F.array(F.lit(0.0), *[F.lit(b) for b in bounds[:-1]])
-    prev = F.array(F.lit(0.0), *[F.col(f"c{i}").cast("double") for i in range(len(bounds) - 1)])
-    rank = F.lit(q) * F.col("n")
-    g = g.withColumn("_b", F.array_position(F.transform(cum, lambda c: c >= rank), True).cast("int"))
-    top = F.lit(float(bounds[-2]))
-    lo, hi = F.element_at(lb, F.col("_b")), F.element_at(ub, F.col("_b"))
-    cp, cb = F.element_at(prev, F.col("_b")), F.element_at(cum, F.col("_b"))
-    interp = lo + (hi - lo) * (rank - cp) / (cb - cp)
-    est = F.when(F.col("_b") == len(bounds), top).otherwise(interp)
     return g.select(F.col("w.start").alias("window_start"), F.col("n").alias("requests"),
                     # unrounded: the same IEEE arithmetic in any engine gives the
                     # same double, while engine-side rounding differs at ties
-                    est.alias(f"p{int(q * 100)}_bucket"), F.round("exact", 6).alias(f"p{int(q * 100)}_exact"))
+                    _bucket_quantile(q, bounds).alias(f"p{int(q * 100)}_bucket"),
+                    F.round("exact", 6).alias(f"p{int(q * 100)}_exact"))
 
 
 def avg_confidence(df: DataFrame, size: str = WINDOW, slide: str | None = SLIDE) -> DataFrame:
@@ -100,20 +106,29 @@ def avg_confidence(df: DataFrame, size: str = WINDOW, slide: str | None = SLIDE)
                     F.round(F.col("_s") / F.col("predictions"), 6).alias("avg_confidence"))
 
 
-def rule_series(df: DataFrame, size: str = WINDOW, slide: str = SLIDE, exact: bool = True) -> DataFrame:
+def rule_series(df: DataFrame, size: str = WINDOW, slide: str = SLIDE) -> DataFrame:
     """Per sliding window, the value and condition of each alert rule:
-    errors > 5, bucket p95 of duration > 1 s, mean confidence < 0.5. An
-    empty window has no row, hence no value and no alert."""
-    e = error_counts(df, size, slide).select(
-        F.lit("HighErrorRate").alias("rule"), "window_start", F.col("errors").cast("double").alias("value"),
-        (F.col("errors") > S.ALERT_ERROR_INCREASE).alias("condition"))
-    p = hist_quantile(df, "duration_s", 0.95, S.DURATION_BUCKETS, size, slide, exact).select(
-        F.lit("HighPredictionDuration").alias("rule"), "window_start", F.col("p95_bucket").alias("value"),
-        (F.col("p95_bucket") > S.ALERT_P95_SECONDS).alias("condition"))
-    c = avg_confidence(df, size, slide).select(
-        F.lit("LowAverageConfidence").alias("rule"), "window_start", F.col("avg_confidence").alias("value"),
-        (F.col("avg_confidence") < S.ALERT_MIN_CONFIDENCE).alias("condition"))
-    return e.unionByName(p).unionByName(c)
+    errors > 5, bucket p95 of duration > 1 s, mean confidence < 0.5. One
+    windowed aggregate feeds all three rules (one pass over the events, one
+    state store when streaming); an empty window has no row, hence no value
+    and no alert."""
+    bounds = _bounds(S.DURATION_BUCKETS)
+    g = df.groupBy(windowed(df, size, slide).alias("w")).agg(
+        F.count_if(is_error()).alias("errors"),
+        *[F.count_if(F.col("duration_s") <= F.lit(b)).alias(f"c{i}") for i, b in enumerate(bounds)],
+        F.count(F.lit(1)).alias("n"), F.sum("confidence").alias("_conf"))
+    p95 = _bucket_quantile(0.95, bounds)
+    avg = F.round(F.col("_conf") / F.col("n"), 6)
+    errors = F.col("errors").cast("double")
+    rules = F.array(
+        F.struct(F.lit("HighErrorRate").alias("rule"), errors.alias("value"),
+                 (F.col("errors") > S.ALERT_ERROR_INCREASE).alias("condition")),
+        F.struct(F.lit("HighPredictionDuration").alias("rule"), p95.alias("value"),
+                 (p95 > S.ALERT_P95_SECONDS).alias("condition")),
+        F.struct(F.lit("LowAverageConfidence").alias("rule"), avg.alias("value"),
+                 (avg < S.ALERT_MIN_CONFIDENCE).alias("condition")))
+    return (g.select(F.col("w.start").alias("window_start"), F.explode(rules).alias("r"))
+             .select("r.rule", "window_start", "r.value", "r.condition"))
 
 
 # Hold times per rule, in slide steps (1 minute of 5 -> 1 step; 5 of 5 -> 6).
