@@ -27,10 +27,18 @@ def confusion_normalized(df: DataFrame, y: str = "y_true", p: str = "y_pred") ->
 
 def class_stats(cm: DataFrame) -> DataFrame:
     """Per label over the union of labels: support, predicted, tp, p, r, f1."""
-    t = cm.groupBy(F.col("y").alias("label")).agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
-    pr = cm.groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("predicted"))
-    j = t.join(pr, "label", "full_outer").na.fill(0, ["support", "tp", "predicted"])
+    # Each cell counts once for its true label and once for its predicted
+    # label: one aggregate over the confusion table, no self-join (a join
+    # would infer a NOT NULL filter on one side only, so the two uses of
+    # the confusion table would differ and the predictions be scored twice).
+    y, p, n, zero = F.col("y"), F.col("p"), F.col("n"), F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(y.alias("label"), n.alias("support"), F.when(y == p, n).otherwise(zero).alias("tp"),
+                 zero.alias("predicted")),
+        F.struct(p.cast(cm.schema["y"].dataType).alias("label"), zero.alias("support"), zero.alias("tp"),
+                 n.alias("predicted")))
+    j = cm.select(F.inline(sides)).groupBy("label").agg(
+        F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"))
     return j.select(
         "label", "support", "predicted", "tp",
         F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0).alias("precision"),
