@@ -118,7 +118,12 @@ def auc_from_hist(hist: DataFrame, n_buckets: int = 1024, keys: list[str] | None
     quantiles of the distinct scores (one sketch over all groups)."""
     if not keys:
         hist, keys = hist.withColumn("_g", F.lit(0)), ["_g"]
-    h = _quantile_buckets(hist, n_buckets)
+    # Rows without a score take no part. The bucket id is made
+    # non-nullable so the inner join below infers no NOT NULL filter that
+    # Catalyst would push into only one of the two uses of ``h``: both then
+    # share one exchange and the histogram is built once.
+    h = _quantile_buckets(hist.where(F.col("s").isNotNull()), n_buckets)
+    h = h.withColumn("_b", F.coalesce(F.col("_b"), F.lit(-1)))
     per_b = h.groupBy(*keys, "_b").agg(F.sum("neg").alias("_bn"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offs = per_b.select(*keys, "_b", (F.sum("_bn").over(wb) - F.col("_bn")).alias("_off"))
