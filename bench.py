@@ -31,6 +31,9 @@ HEADLINE = [
 ]
 
 
+SCORE_RUNS = 9
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -53,7 +56,8 @@ def main() -> None:
 
     # Baseline-comparable numbers: optimiser time of the TF-IDF + logistic
     # fit, and scoring cost per row on the validation split (fitted model,
-    # transform + probability map, executed with a noop write).
+    # transform + probability map, executed with a noop write; the split
+    # filter prunes the written training table to the validation folder).
     from pyspark.sql import functions as F
     from vitalis.operators import models as M
     from vitalis.operators import score as SC
@@ -64,10 +68,16 @@ def main() -> None:
     n_valid = valid.count()
     scored = model.transform(valid).select(
         "record_id", "predicted_target", SC.probability_map(["atencao", "normal", "urgente"]).alias("p"))
-    scored.write.mode("overwrite").format("noop").save()  # warm
-    t0 = time.perf_counter()
-    scored.write.mode("overwrite").format("noop").save()
-    score_s = time.perf_counter() - t0
+    # As the reference's scoring benchmark: warm-up runs, then the median
+    # (and worst) of the measured runs.
+    runs = []
+    for i in range(2 + SCORE_RUNS):
+        t0 = time.perf_counter()
+        scored.write.mode("overwrite").format("noop").save()
+        if i >= 2:
+            runs.append(time.perf_counter() - t0)
+    runs.sort()
+    score_s = runs[len(runs) // 2]
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
@@ -82,6 +92,8 @@ def main() -> None:
         "score_rows": n_valid,
         "score_seconds": round(score_s, 3),
         "score_ms_per_row": round(1000 * score_s / max(n_valid, 1), 5),
+        "score_ms_per_row_worst": round(1000 * runs[-1] / max(n_valid, 1), 5),
+        "score_runs": SCORE_RUNS,
     }))
     spark.stop()
 
