@@ -246,10 +246,12 @@ a AS (SELECT c, sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc FR
 SELECT round(avg(round(auc, 6)), 6) AS roc_auc_ovr, count(*) AS classes FROM a""")
 def q_eval_auc_ovr(spark, sf):
     e = table(spark, sf, "embeddings")
-    ex = F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double")))
-    p = e.select("label", ex.alias("e"))
-    total = F.aggregate("e", F.lit(0.0), lambda acc, x: acc + x)
-    q = p.select("label", F.posexplode("e").alias("c", "v"), total.alias("t"))
+    # Softmax over the first ten components, written out per component (no
+    # lambda functions, whose fresh variable ids would keep the two uses
+    # of the histogram below from sharing one exchange).
+    exps = [F.exp(F.element_at("embedding", i + 1).cast("double")) for i in range(10)]
+    p = e.select("label", F.array(*exps).alias("e"), sum(exps[1:], exps[0]).alias("t"))
+    q = p.select("label", F.posexplode("e").alias("c", "v"), "t")
     hist = q.groupBy("c", (F.col("v") / F.col("t")).alias("s")).agg(
         F.count_if(F.col("label") == F.col("c")).alias("pos"), F.count_if(F.col("label") != F.col("c")).alias("neg"))
     per = EV.auc_from_hist(hist, keys=["c"]).where(F.col("roc_auc").isNotNull())
