@@ -120,18 +120,22 @@ def auc_from_hist(hist: DataFrame, n_buckets: int = 1024, keys: list[str] | None
         hist, keys = hist.withColumn("_g", F.lit(0)), ["_g"]
     # Rows without a score take no part. The bucket id is made
     # non-nullable so the inner join below infers no NOT NULL filter that
-    # Catalyst would push into only one of the two uses of ``h``: both then
-    # share one exchange and the histogram is built once.
+    # Catalyst would push into only one of the two uses of ``h``, and both
+    # uses read ``pos`` and ``neg`` (class totals come from the bucket
+    # table), so column pruning leaves them identical: they share one
+    # exchange and the histogram is built once.
     h = _quantile_buckets(hist.where(F.col("s").isNotNull()), n_buckets)
     h = h.withColumn("_b", F.coalesce(F.col("_b"), F.lit(-1)))
-    per_b = h.groupBy(*keys, "_b").agg(F.sum("neg").alias("_bn"))
+    per_b = h.groupBy(*keys, "_b").agg(F.sum("neg").alias("_bn"), F.sum("pos").alias("_bp"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offs = per_b.select(*keys, "_b", (F.sum("_bn").over(wb) - F.col("_bn")).alias("_off"))
+    wk = Window.partitionBy(*keys)
+    offs = per_b.select(*keys, "_b", (F.sum("_bn").over(wb) - F.col("_bn")).alias("_off"),
+                        F.sum("_bp").over(wk).alias("_p"), F.sum("_bn").over(wk).alias("_n"))
     wi = Window.partitionBy(*keys, "_b").orderBy("s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     h = h.withColumn("_below", F.sum("neg").over(wi) - F.col("neg"))
     h = h.join(F.broadcast(offs), [*keys, "_b"])
     contrib = F.col("pos") * (F.col("_off") + F.col("_below") + 0.5 * F.col("neg"))
-    res = h.groupBy(*keys).agg(F.sum(contrib).alias("_num"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    res = h.groupBy(*keys).agg(F.sum(contrib).alias("_num"), F.max("_p").alias("_p"), F.max("_n").alias("_n"))
     out = res.select(*keys, F.when((F.col("_p") > 0) & (F.col("_n") > 0),
                                    F.round(F.col("_num") / (F.col("_p") * F.col("_n")), 6)).alias("roc_auc"))
     return out.drop("_g")
