@@ -388,7 +388,10 @@ def q_pivot_matrix(spark, sf):
     return o.groupBy("o_orderstatus").pivot("o_orderpriority", _PRIOS).count().na.fill(0, _PRIOS)
 
 
-@register("union_metric_frame")
+@register("union_metric_frame", ["eda"], """
+SELECT 'visits' AS metric, CAST(count(*) AS DOUBLE) AS value FROM eda
+UNION ALL SELECT 'urgent_share', avg(CAST(target = 'urgente' AS INTEGER)) FROM eda
+UNION ALL SELECT 'complaint_coverage', avg(CAST(RFV1_description IS NOT NULL AS INTEGER)) FROM eda""")
 def q_union_metric_frame(spark, sf):
     """KPI cards: a few bounded aggregates stacked as (metric, value)."""
     v = eda(spark, sf)
