@@ -199,9 +199,11 @@ SELECT clinical_text, target FROM (
   SELECT clinical_text, target, row_number() OVER (PARTITION BY target ORDER BY RFV1, visit_row) AS rn
   FROM eda_text WHERE RFV1_description IS NOT NULL) t WHERE rn <= 2""")
 def q_win_head_per_group(spark, sf):
-    e = eda(spark, sf).where(F.col("RFV1_description").isNotNull()) \
-                      .withColumn("clinical_text", X.clinical_text(eda=True))
-    return E.head_per_group(e, "target", [F.col("RFV1"), F.col("visit_row")], 2).select("clinical_text", "target")
+    # The text is templated after the per-class limit: only the kept rows
+    # (two per class) pay for it, not the whole cohort.
+    e = eda(spark, sf).where(F.col("RFV1_description").isNotNull())
+    head = E.head_per_group(e, "target", [F.col("RFV1"), F.col("visit_row")], 2)
+    return head.select(X.clinical_text(eda=True).alias("clinical_text"), "target")
 
 
 @register("agg_coverage", ["eda"], " UNION ALL ".join(
