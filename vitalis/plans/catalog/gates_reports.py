@@ -64,11 +64,13 @@ FROM ob FULL OUTER JOIN ex ON ob."check" = ex."check" AND ob.key = ex.key"""
 
 
 def _expected_frame(spark, sf):
+    """Expected rows and class counts of the eligible cohort from one
+    grouped pass (the row total is the sum of the class counts)."""
     e = C.eligible(FX.visits(spark, sf)).select(C.target_expr().alias("target"))
-    rows = e.agg(F.count(F.lit(1)).alias("expected")).select(F.lit("rows").alias("check"), F.lit("").alias("key"),
-                                                            "expected")
-    cls = e.groupBy("target").agg(F.count(F.lit(1)).alias("expected")).select(
-        F.lit("class").alias("check"), F.col("target").alias("key"), "expected")
+    by_class = e.groupBy("target").agg(F.count(F.lit(1)).alias("expected"))
+    rows = by_class.agg(F.coalesce(F.sum("expected"), F.lit(0)).alias("expected")).select(
+        F.lit("rows").alias("check"), F.lit("").alias("key"), "expected")
+    cls = by_class.select(F.lit("class").alias("check"), F.col("target").alias("key"), "expected")
     return rows.unionByName(cls)
 
 
@@ -255,11 +257,13 @@ def q_dq_readiness(spark, sf):
               ((F.countDistinct("dataset_version") == 1) & F.bool_and(F.col("dataset_version") == VERSION))
               .alias("version_fixed"), F.countDistinct("text_hash").alias("texts"), F.lit(0).alias("_g"))
     erows = exp.where(F.col("check") == "rows").select(F.col("expected").alias("_en"), F.lit(0).alias("_g"))
-    tc = t.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+    # One (split, class) count table feeds the class totals and the cell count.
+    st = t.groupBy("split", "target").agg(F.count(F.lit(1)).alias("c"))
+    tc = st.groupBy("target").agg(F.sum("c").alias("n"))
     ec = exp.where(F.col("check") == "class").select(F.col("key").alias("target"), F.col("expected").alias("e"))
     mism = tc.join(ec, "target", "full_outer").agg(
         F.count_if(~F.col("n").eqNullSafe(F.col("e"))).alias("_mm"), F.lit(0).alias("_g"))
-    cells = t.groupBy("split", "target").count().agg(F.count(F.lit(1)).alias("_cells"), F.lit(0).alias("_g"))
+    cells = st.agg(F.count(F.lit(1)).alias("_cells"), F.lit(0).alias("_g"))
     j = (a.join(erows, "_g").join(mism, "_g").join(cells, "_g")
           .join(audit.withColumn("_g", F.lit(0)), "_g"))
     row = j.select(
