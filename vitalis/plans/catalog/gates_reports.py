@@ -79,10 +79,10 @@ def q_dq_expected_counts(spark, sf):
     """Observed training-table counts against expectations passed in as a
     table -- here the eligible cohort counted independently on the source."""
     t = training_table(spark, sf)
-    ob = t.agg(F.count(F.lit(1)).alias("observed")).select(F.lit("rows").alias("check"), F.lit("").alias("key"),
-                                                          "observed")
-    ob = ob.unionByName(t.groupBy("target").agg(F.count(F.lit(1)).alias("observed")).select(
-        F.lit("class").alias("check"), F.col("target").alias("key"), "observed"))
+    by_class = t.groupBy("target").agg(F.count(F.lit(1)).alias("observed"))
+    ob = by_class.agg(F.coalesce(F.sum("observed"), F.lit(0)).alias("observed")).select(
+        F.lit("rows").alias("check"), F.lit("").alias("key"), "observed")
+    ob = ob.unionByName(by_class.select(F.lit("class").alias("check"), F.col("target").alias("key"), "observed"))
     j = ob.join(_expected_frame(spark, sf), ["check", "key"], "full_outer")
     return j.select("check", "key", "observed", "expected",
                     F.col("observed").eqNullSafe(F.col("expected")).alias("passed"))
