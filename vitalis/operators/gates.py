@@ -74,14 +74,17 @@ def expected_counts(df: DataFrame, rows: int | None = None, classes: Mapping[str
     """``dq_expected_counts``: observed counts vs optional expectations,
     as (check, key, observed, expected, passed) rows."""
     spark = df.sparkSession
-    obs = df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("text_hash").alias("unique_texts"))
-    parts = [obs.select(F.lit("rows").alias("check"), F.lit("").alias("key"), F.col("rows").alias("observed")),
-             obs.select(F.lit("unique_texts").alias("check"), F.lit("").alias("key"),
-                        F.col("unique_texts").alias("observed")),
-             df.groupBy("target").count().select(F.lit("class").alias("check"), F.col("target").alias("key"),
-                                                 F.col("count").alias("observed")),
-             df.groupBy("split").count().select(F.lit("split").alias("check"), F.col("split").alias("key"),
-                                                F.col("count").alias("observed"))]
+    # Rows, class and split counts come from one (class, split) table;
+    # distinct texts need their own grouped pass.
+    cells = df.groupBy("target", "split").agg(F.count(F.lit(1)).alias("n"))
+    texts = df.agg(F.countDistinct("text_hash").alias("observed"))
+    parts = [cells.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("observed")).select(
+                 F.lit("rows").alias("check"), F.lit("").alias("key"), "observed"),
+             texts.select(F.lit("unique_texts").alias("check"), F.lit("").alias("key"), "observed"),
+             cells.groupBy("target").agg(F.sum("n").alias("observed")).select(
+                 F.lit("class").alias("check"), F.col("target").alias("key"), "observed"),
+             cells.groupBy("split").agg(F.sum("n").alias("observed")).select(
+                 F.lit("split").alias("check"), F.col("split").alias("key"), "observed")]
     o = parts[0]
     for p in parts[1:]:
         o = o.unionByName(p)
