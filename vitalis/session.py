@@ -54,6 +54,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder would be lost with its executor.
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         # Local runs and tests only: no shared folder was configured.
         current = tempfile.mkdtemp(prefix="vitalis-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
