@@ -46,3 +46,11 @@ def test_split_audit_counts_conflicting_and_crossing_groups(spark):
         "text_hash string, target string, split string")
     r = split_audit(df).first()
     assert (r["unique_texts"], r["repeated_groups"], r["conflicting_groups"], r["crossing_groups"]) == (4, 3, 1, 1)
+
+
+def test_training_table_split_filter_prunes_folders(spark):
+    from vitalis.plans.training_table import training_table
+    t = training_table(spark, SF_SMALL)
+    plan = t.where("split = 'validation'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan and "(split#" in plan
+    assert t.columns == ["record_id", "clinical_text", "target", "text_hash", "split", "dataset_version"]
