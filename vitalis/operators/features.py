@@ -24,11 +24,15 @@ def doc_terms(docs: DataFrame, doc: str, text: str, pattern: str = X.TOKEN_RE_AS
     """(doc, term, tf): lower-case tokens (+ bigrams) counted per doc."""
     toks = docs.select(F.col(doc).alias("doc"), X.tokenize(text, pattern, group).alias("_tk"))
     terms = X.ngrams_1_2("_tk") if bigrams else F.col("_tk")
-    # The explicit NOT NULL keeps both uses of this table (vocabulary fit
-    # and transform) plan-identical, so the tokenise + count exchange is
-    # reused; otherwise the join infers the filter on one branch only and
-    # the text is tokenised twice.
+    # Terms are shuffled once, by document: the per-document counts and
+    # the per-document norm of the transform then need no further exchange
+    # (one shuffle of the raw terms instead of one of the counts plus one
+    # of the weights). The explicit NOT NULL keeps both uses of this table
+    # (vocabulary fit and transform) plan-identical, so the tokenise +
+    # shuffle runs once; otherwise the join infers the filter on one
+    # branch only and the text is tokenised twice.
     return (toks.select("doc", F.explode(terms).alias("term")).where(F.col("term").isNotNull())
+                .repartition("doc")
                 .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
