@@ -59,7 +59,9 @@ def group_folds(df: DataFrame, group_col: str = "text_hash", strat_col: str = "t
     ranked = groups.select("*", (F.sum("_n").over(w_in) - F.col("_n")).alias("_before_in"))
     j = ranked.join(F.broadcast(offsets), ["_stratum", "_bucket"])
     fold = F.floor(F.lit(n_folds) * (F.col("_offset") + F.col("_before_in")) / F.col("_total")).cast("int")
-    return j.select(group_col, F.element_at(strata, F.col("_stratum").cast("int")).alias("stratum"),
+    # Stratum 0 (no known class in the group) keeps a NULL stratum name.
+    stratum = F.when(F.col("_stratum") > 0, F.element_at(strata, F.col("_stratum").cast("int")))
+    return j.select(group_col, stratum.alias("stratum"),
                     F.col("_n").alias("n"), fold.alias("fold"))
 
 
