@@ -96,11 +96,16 @@ def median_count(eda: DataFrame, fields: Sequence[str] = VITAL_FIELDS) -> DataFr
 def box_stats(eda: DataFrame, fields: Sequence[str] = ("heart_rate", "respiratory_rate", "oxygen_saturation")
               ) -> DataFrame:
     """``agg_box_stats``: quartiles and 1.5 IQR whiskers (most extreme data
-    within the fences) per class and field. Quartiles are a tiny grouped
-    table, broadcast back for the whisker pass."""
-    long = eda.unpivot(["target"], list(fields), "field", "value").where(F.col("value").isNotNull())
+    within the fences) per class and field. One pass over the cohort builds
+    a (class, field, value) -> count histogram (its size follows distinct
+    values, not rows); exact quartiles are frequency-weighted percentiles of
+    it and the whiskers scan it with the quartiles broadcast back."""
+    # Rows without a class never reach the output (the joins drop them).
+    long = eda.unpivot(["target"], list(fields), "field", "value").where(
+        F.col("value").isNotNull() & F.col("target").isNotNull())
+    long = long.groupBy("target", "field", "value").agg(F.count(F.lit(1)).alias("_c"))
     q = long.groupBy("target", "field").agg(
-        F.percentile("value", [0.25, 0.5, 0.75]).alias("_q"))
+        F.percentile("value", [0.25, 0.5, 0.75], F.col("_c")).alias("_q"))
     q = q.select("target", "field", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
