@@ -94,11 +94,6 @@ def create_pipeline(preprocessor, problem_type: str, model_name: str, params: Ma
     return Pipeline(stages=[preprocessor, create(problem_type, model_name, params)])
 
 
-def factory_table(spark) -> DataFrame:
-    rows = [(pt, n, type(create(pt, n, {})).__name__) for pt, reg in REGISTRY.items() for n in sorted(reg)]
-    return spark.createDataFrame(rows, "problem_type string, model_name string, estimator string")
-
-
 # --- text logistic model (TF-IDF + balanced multinomial logistic) ---------------------
 
 def text_features(pattern: str = X.TOKEN_RE_ASCII):
