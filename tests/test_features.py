@@ -34,3 +34,13 @@ def test_text_stage_terms_are_tokens_then_bigrams(spark):
     assert rows[0] == ["ab", "de", "f9", "x_y", "ab de", "de f9", "f9 x_y"]
     assert rows[1] == ["one"]
     assert rows[2] == []
+
+
+def test_logistic_vocabulary_cap_breaks_ties_by_term(spark):
+    # cf: aa 4; zz, mm, bb 2 each (tied); cc 1 (below min_df with df 1)
+    rows = [("aa zz mm", "normal", "train"), ("aa bb zz", "urgente", "train"),
+            ("aa mm bb", "atencao", "train"), ("aa cc", "normal", "train")]
+    df = spark.createDataFrame(rows, "clinical_text string, target string, split string")
+    model = M.fit_text_logistic(df, max_iter=5, min_df=2, vocab=3)
+    cv = next(s for s in model.stages if hasattr(s, "vocabulary"))
+    assert cv.vocabulary == ["aa", "bb", "mm"]

@@ -9,6 +9,7 @@ raw text.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Mapping
 
@@ -115,27 +116,38 @@ def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1
     summed-loss L2 strength of C=1 (``regParam = 1 / n`` on a loss that
     Spark averages over the balanced weights, which sum to ``n``).
 
-    Passes over the text: one to fit the vocabulary, one to write the
-    term counts with label and weight to the checkpoint folder; document
-    frequencies and the optimiser read that table."""
+    Passes over the text: one for term statistics (document and corpus
+    frequency per term in one aggregate), one to write the term counts with
+    label and weight to the checkpoint folder for the optimiser. The
+    vocabulary is the ``vocab`` most frequent terms with ``df >= min_df``,
+    ties by term (deterministic at the cap); only that capped list and its
+    document frequencies reach the driver."""
     from vitalis.session import materialize
 
     idx = MF.StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc").fit(train)
-    pre = Pipeline(stages=[*text_features(),
-                           MF.CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=float(min_df),
-                                              vocabSize=vocab)]).fit(train)
+    (terms_stage,) = text_features()
     labelled = idx.transform(train)
     counts = labelled.groupBy("label_id").count()
     w = Window.partitionBy(F.lit(0))
     wt = counts.select("label_id", (F.sum("count").over(w) / (F.count(F.lit(1)).over(w) * F.col("count"))).alias("weight"))
-    tf = materialize(pre.transform(labelled.join(F.broadcast(wt), "label_id")).select("_tf", "label_id", "weight"),
-                     "lr-train")
-    idf = MF.IDF(inputCol="_tf", outputCol="_idf").fit(tf)
-    # Spark's IDF is ln((n+1)/(df+1)); the contract adds 1: tf * (idf + 1).
-    scale = MF.ElementwiseProduct(scalingVec=DenseVector(idf.idf.toArray() + 1.0), inputCol="_tf", outputCol="_w")
+    n = int(counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
+    # One explode feeds both statistics: each distinct term of a row counts
+    # once for df, every occurrence once for cf.
+    t = terms_stage.transform(train).select("_terms")
+    entries = F.concat(
+        F.transform(F.array_distinct("_terms"), lambda x: F.struct(x.alias("term"), F.lit(1).alias("d"), F.lit(0).alias("c"))),
+        F.transform("_terms", lambda x: F.struct(x.alias("term"), F.lit(0).alias("d"), F.lit(1).alias("c"))))
+    stats = (t.select(F.inline(entries)).groupBy("term").agg(F.sum("d").alias("df"), F.sum("c").alias("cf"))
+              .where(F.col("df") >= min_df).orderBy(F.desc("cf"), F.asc("term")).limit(vocab))
+    top = stats.collect()  # at most ``vocab`` rows
+    cv = MF.CountVectorizerModel.from_vocabulary([r["term"] for r in top], inputCol="_terms", outputCol="_tf")
+    # Smooth IDF plus one: ln((1 + n) / (1 + df)) + 1.
+    idf = [math.log((1 + n) / (1 + r["df"])) + 1.0 for r in top]
+    scale = MF.ElementwiseProduct(scalingVec=DenseVector(idf), inputCol="_tf", outputCol="_w")
     norm = MF.Normalizer(p=2.0, inputCol="_w", outputCol="features")
+    tf = materialize(cv.transform(terms_stage.transform(labelled.join(F.broadcast(wt), "label_id")))
+                     .select("_tf", "label_id", "weight"), "lr-train")
     data = norm.transform(scale.transform(tf)).select("features", "label_id", "weight")
-    n = int(idf.numDocs)
     # tol = 1e-4: the stopping tolerance of the reference solver (library
     # default); Spark's own default (1e-6) iterates far past it.
     lr = MC.LogisticRegression(featuresCol="features", labelCol="label_id", weightCol="weight", maxIter=max_iter,
@@ -146,7 +158,7 @@ def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1
     LAST_FIT_SECONDS["text_logistic"] = time.perf_counter() - t0
     LAST_FIT_SECONDS["train_rows"] = float(n)
     back = MF.IndexToString(inputCol="prediction", outputCol="predicted_target", labels=idx.labels)
-    return PipelineModel(stages=[idx, *pre.stages, scale, norm, model, back])
+    return PipelineModel(stages=[idx, terms_stage, cv, scale, norm, model, back])
 
 
 def fit_text_pooled(train: DataFrame, label: str = "target", max_iter: int = 200) -> PipelineModel:
