@@ -109,6 +109,20 @@ def text_features(pattern: str = X.TOKEN_RE_ASCII):
         f"FROM (SELECT *, {tokens} AS _tk FROM __THIS__)"))]
 
 
+def capped_vocabulary(df: DataFrame, terms: str, min_df: int, cap: int) -> list:
+    """(term, df) rows of the ``cap`` most frequent terms with document
+    frequency ``>= min_df``, ties by term, from one aggregate: each distinct
+    term of a row counts once for df, every occurrence once for corpus
+    frequency. Only the capped list reaches the driver. (Spark's
+    ``CountVectorizer`` top-k leaves ties at the cap unordered.)"""
+    entries = F.concat(
+        F.transform(F.array_distinct(terms), lambda x: F.struct(x.alias("term"), F.lit(1).alias("d"), F.lit(0).alias("c"))),
+        F.transform(terms, lambda x: F.struct(x.alias("term"), F.lit(0).alias("d"), F.lit(1).alias("c"))))
+    stats = (df.select(F.inline(entries)).groupBy("term").agg(F.sum("d").alias("df"), F.sum("c").alias("cf"))
+               .where(F.col("df") >= min_df).orderBy(F.desc("cf"), F.asc("term")).limit(cap))
+    return stats.select("term", "df").collect()
+
+
 def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1000,
                       min_df: int = 2, vocab: int = 10_000) -> PipelineModel:
     """``ml_logistic``: TF-IDF (1-2 grams, min_df, capped vocabulary, smooth
@@ -131,15 +145,7 @@ def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1
     w = Window.partitionBy(F.lit(0))
     wt = counts.select("label_id", (F.sum("count").over(w) / (F.count(F.lit(1)).over(w) * F.col("count"))).alias("weight"))
     n = int(counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
-    # One explode feeds both statistics: each distinct term of a row counts
-    # once for df, every occurrence once for cf.
-    t = terms_stage.transform(train).select("_terms")
-    entries = F.concat(
-        F.transform(F.array_distinct("_terms"), lambda x: F.struct(x.alias("term"), F.lit(1).alias("d"), F.lit(0).alias("c"))),
-        F.transform("_terms", lambda x: F.struct(x.alias("term"), F.lit(0).alias("d"), F.lit(1).alias("c"))))
-    stats = (t.select(F.inline(entries)).groupBy("term").agg(F.sum("d").alias("df"), F.sum("c").alias("cf"))
-              .where(F.col("df") >= min_df).orderBy(F.desc("cf"), F.asc("term")).limit(vocab))
-    top = stats.collect()  # at most ``vocab`` rows
+    top = capped_vocabulary(terms_stage.transform(train), "_terms", min_df, vocab)
     cv = MF.CountVectorizerModel.from_vocabulary([r["term"] for r in top], inputCol="_terms", outputCol="_tf")
     # Smooth IDF plus one: ln((1 + n) / (1 + df)) + 1.
     idf = [math.log((1 + n) / (1 + r["df"])) + 1.0 for r in top]
@@ -168,7 +174,8 @@ def fit_text_pooled(train: DataFrame, label: str = "target", max_iter: int = 200
     tokens, one-letter tokens kept)."""
     idx = MF.StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc").fit(train)
     tok = MF.RegexTokenizer(inputCol="clinical_text", outputCol="_tok", pattern=X.TOKEN_RE_UNICODE, gaps=False)
-    cv = MF.CountVectorizer(inputCol="_tok", outputCol="_tf", vocabSize=20_000)
+    top = capped_vocabulary(tok.transform(train), "_tok", 1, 20_000)
+    cv = MF.CountVectorizerModel.from_vocabulary([r["term"] for r in top], inputCol="_tok", outputCol="_tf")
     norm = MF.Normalizer(p=1.0, inputCol="_tf", outputCol="features")
     lr = MC.LogisticRegression(featuresCol="features", labelCol="label_id", maxIter=max_iter, family="multinomial")
     back = MF.IndexToString(inputCol="prediction", outputCol="predicted_target", labels=idx.labels)
