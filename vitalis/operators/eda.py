@@ -124,11 +124,13 @@ def ambiguity(df: DataFrame, reps: dict[str, Column], target: str = "target") ->
     pass; results are stacked with ``unionByName``."""
     out = None
     for name, expr in reps.items():
+        # "More than one class" is max <> min (both skip NULL, like a
+        # distinct count): one hash aggregate with map-side partial results.
         g = df.groupBy(expr.alias("_k")).agg(
-            F.count(F.lit(1)).alias("rows"), F.countDistinct(target).alias("distinct_targets"))
+            F.count(F.lit(1)).alias("rows"), (F.max(target) != F.min(target)).alias("conflict"))
         r = g.agg(F.count(F.lit(1)).alias("unique_values"),
                   F.count_if(F.col("rows") > 1).alias("repeated_values"),
-                  F.count_if(F.col("distinct_targets") > 1).alias("conflicting_values"))
+                  F.count_if(F.col("conflict")).alias("conflicting_values"))
         r = r.select(F.lit(name).alias("representation"), "*")
         out = r if out is None else out.unionByName(r)
     return out
