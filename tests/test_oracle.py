@@ -17,7 +17,8 @@ SUBSET = [
     "fn_clinical_text_eda", "fn_text_hash", "fn_tokenize_unicode", "agg_schema_profile", "agg_duplicate_rows",
     "win_quota_split", "feat_tfidf", "feat_encode_pad", "feat_onehot", "eval_global_multiclass",
     "eval_auc_binary", "eval_auc_ovr", "mon_p95_duration", "mon_hold_for", "dq_training_contract",
-    "dq_source_gates", "rep_heatmap", "sink_metadata",
+    "dq_source_gates", "rep_heatmap", "sink_metadata", "union_metric_frame", "agg_split_audit", "dq_readiness",
+    "dq_expected_counts", "mon_alert_duration", "eval_by_class",
 ]
 
 ALL = sorted(oracle_sql())
