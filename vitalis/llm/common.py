@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.session import materialize
+from vitalis.session import checkpoint_dir
 
 #: A word: a run of anything but ASCII white space (space, tab to CR).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -43,7 +44,9 @@ def is_held_out(doc_id: Column, mod: int, rest: int) -> Column:
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there
     and a lost executor costs no recomputation of it."""
-    return materialize(df, f"llm-{name}")
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/vitalis-llm-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def slices(batches: Iterable[pa.RecordBatch], limit: int = 2 << 20,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitalis.llm.common import read
 from vitalis.llm.langid import identify_language
+from vitalis.llm.lm import score_language_model
+from vitalis.llm.packing import retrieval_pack
 from vitalis.llm.quality import isolation_quality
 from vitalis.llm.toxicity import score_toxicity
 
@@ -16,6 +18,10 @@ def op3_hierarchical_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(read(spark, sf_dir, "documents"))
 
 
+def op5_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval_pack(read(spark, sf_dir, "documents"))
+
+
 def op6_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -24,11 +30,17 @@ def op7_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolation_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_language_model(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op3_hierarchical_langid,
+        op5_lexical_packing,
         op6_gru_toxicity,
         op7_isolation_forest,
+        op8_backoff_automaton,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
