@@ -213,9 +213,11 @@ def isolation_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     rows. Other columns of the input are ignored.
     """
     stats = write_table(base_failed(rule_statistics(docs, id_col, text_col)), "quality-stats")
-    sample = (stats.where(~F.col("base_failed"))
-              .orderBy(F.xxhash64("doc_id", *RATIOS), "doc_id").limit(trees * tree_rows)
-              .select(*RATIOS).collect())
+    passed, wanted = stats.where(~F.col("base_failed")), trees * tree_rows
+    order = F.xxhash64("doc_id", *RATIOS)
+    rate = min(1.0, (2.0 * wanted + 1000) / max(1, passed.count()))  # so that few rows are sorted
+    sample = (passed.where(order.cast("double") / 2.0 ** 64 + 0.5 <= rate)
+              .orderBy(order, "doc_id").limit(wanted).select(*RATIOS).collect())
     forest = Forest(np.array([tuple(r) for r in sample], dtype=float).reshape(-1, len(RATIOS)),
                     trees, tree_rows)
     scored = with_score(stats, forest)
