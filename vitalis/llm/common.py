@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalis.session import checkpoint_dir
@@ -83,7 +83,6 @@ def bounded_sample(rows: DataFrame, by: str, per_group: int, order: Column,
     rate = F.lit(0.0)
     for value, n in ((r[0], r[1]) for r in counts):
         rate = F.when(F.col(by) == F.lit(value), F.lit(min(1.0, 3.0 * per_group / n + 50.0 / n))).otherwise(rate)
-    from pyspark.sql import Window
     w = Window.partitionBy(by).orderBy("__order")
     return (rows.where(F.col(by).isin([r[0] for r in counts]))
             .withColumn("__order", order)

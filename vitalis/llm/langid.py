@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitalis.llm.common import bounded_sample, id_text, is_held_out, named, slices
 
@@ -215,13 +216,20 @@ def identify_language(docs: DataFrame, model: TwoLevel | None = None, id_col: st
     predictions and are all returned. Other columns are ignored.
     """
     model = model or fit(docs, id_col, text_col, lang_col, mod=mod, rest=rest, **fitting)
+    rows = id_text(docs, id_col, text_col).withColumn("held_out", is_held_out(F.col("doc_id"), mod, rest))
+    return with_language(rows, model).drop("text")
+
 
+def with_language(docs: DataFrame, model: TwoLevel, text_col: str = "text", pred_col: str = "lang_pred",
+                  score_col: str = "score") -> DataFrame:
+    """``docs`` with the predicted language and its score as further columns;
+    a null text reads as an empty one. No row moves to another task."""
     def predict(batches):
-        for part in slices(batches):
-            got = [model.predict(t) for t in named(part, "text").to_pylist()]
+        for part in slices(batches, column=text_col):
+            got = [model.predict(t or "") for t in named(part, text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [named(part, "doc_id"), named(part, "held_out"), pa.array([g[0] for g in got], pa.string()),
-                 pa.array([g[1] for g in got], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+                [*part.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
+                [*part.schema.names, pred_col, score_col])
 
-    rows = id_text(docs, id_col, text_col).withColumn("held_out", is_held_out(F.col("doc_id"), mod, rest))
-    return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    added = [T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())]
+    return docs.mapInArrow(predict, T.StructType([*docs.schema.fields, *added]))

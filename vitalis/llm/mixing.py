@@ -8,6 +8,7 @@ permutation of its blocks, pass after pass, and the blocks are joined by index.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import named, slices, write_table
+from vitalis.llm.common import ASCII_SPACE, WORD, named, slices, write_table
 
 #: Weights of the sources in order, repeating, and how often a source may be used.
 WEIGHTS, MAX_PASSES = (5.0, 2.0, 1.0), 3.0
@@ -208,8 +209,7 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text, the words in its ranges, with the white space that follows
     them in the original."""
-    import re
-    word = re.compile(r"[^\x20\x09-\x0D]+")
+    word = re.compile(WORD)
     for part in slices(batches):
         out = []
         for text, ranges in zip(named(part, "text").to_pylist(), named(part, "ranges").to_pylist()):
@@ -222,7 +222,7 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     merged.append([a, b])
             starts = [m.start() for m in word.finditer(text)] + [len(text)]
             pieces_ = [text[starts[a] if a else 0:starts[min(b, len(starts) - 1)]] for a, b in merged]
-            out.append("".join(pieces_[:-1]) + (pieces_[-1] if merged[-1][1] == len(starts) - 1 else pieces_[-1].rstrip(" \t\n\x0b\x0c\r")))
+            out.append("".join(pieces_[:-1]) + (pieces_[-1] if merged[-1][1] == len(starts) - 1 else pieces_[-1].rstrip(ASCII_SPACE)))
         yield pa.RecordBatch.from_arrays([named(part, "row"), pa.array(out, pa.string())], ["__cut", "__mixed"])
 
 
