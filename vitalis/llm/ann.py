@@ -178,7 +178,7 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, id_col: str = "
     ``sample`` vectors, in the order of a hash; every vector is indexed. A query
     visits the best cells until they hold ``visit_share`` of all vectors, which
     keeps the recall alike at every size: 0.94 at one half on vectors without
-    any structure, the hardest case.
+    any structure, the hardest case. ``10 * k`` entries are visited at least.
 
     Entries are dealt to blocks of about ``block_rows``, large cells to several,
     and queries to blocks of ``block_queries``; a task holds one pair of blocks
@@ -188,8 +188,8 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, id_col: str = "
     and rows with a null id take no part; nor do vectors whose length isn't the
     most frequent one (ties: the longer). A query isn't its own neighbour, nor
     is any row with its id; rows that repeat an id count once, with the best
-    score. Ties go to the smaller id. With fewer than ``k`` others visited or
-    existing, fewer rows. No vectors: no rows. Other columns are ignored.
+    score. Ties go to the smaller id. With fewer than ``k`` others, all of
+    them. No vectors: no rows. Other columns are ignored.
     """
     spark = vectors.sparkSession
     valid = valid_vectors(vectors, id_col, vector_col)
@@ -216,7 +216,7 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, id_col: str = "
     left = (entries.join(F.broadcast(cell_map), "cell")
             .select((F.col("first") + F.pmod(F.xxhash64("vec_id", "vec"), F.col("chunks"))).alias("block"), "vec_id", "vec", "cell",
                     F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("part")))
-    right = (asked.mapInArrow(_walks(index, visit_share * n), f"block long, query_id long, vec {kind}, cells array<int>")
+    right = (asked.mapInArrow(_walks(index, max(visit_share * n, 10.0 * k)), f"block long, query_id long, vec {kind}, cells array<int>")
              .withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")))
     found = (left.groupBy("block", "part").cogroup(right.groupBy("block", "part"))
              .applyInArrow(_rerank(dim, len(index.counts), k), "query_id long, vec_id long, score double"))
