@@ -9,7 +9,6 @@ network is trained in numpy on a bounded sample of labelled windows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -229,71 +228,84 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def train(texts: list[list[str]], labels: np.ndarray, prior: float, steps: int = 1000,
-          batch: int = 256, min_docs: int = 15, max_words: int = 20_000, seed: int = 11) -> Network:
-    """Train on labelled windows; ``prior`` is the share of label 1 among all
+def train(cut: list[list[str]], owner: np.ndarray, labels: np.ndarray, prior: float, steps: int = 500,
+          batch: int = 256, min_docs: int = 6, max_words: int = 20_000, seed: int = 11) -> Network:
+    """Train on windows ``cut`` (of at most WIDTH words) of the documents
+    ``owner`` with their ``labels``; ``prior`` is the share of label 1 among all
     labelled documents, which the classes are weighted to.
 
-    The first half of the steps takes any window with its document's label.
-    The rest takes, of each document, the window that scores highest, as it
-    decides the document's score, and again any window.
+    A document's label holds for its highest window, as that decides its score.
+    The first steps take any window with its document's label; from then on, a
+    label 1 is learned from the highest window of a document alone, and a label
+    0 from the highest windows and from any others by turns.
     """
     rng = np.random.default_rng(seed)
-    df = Counter(f for t in texts for f in {normal_form(w) for w in t})
-    common = sorted(((n, f) for f, n in df.items() if n >= min_docs), key=lambda x: (-x[0], x[1]))[:max_words]
+    docs_of: dict[str, set[int]] = {}
+    for k, words in zip(owner.tolist(), cut):
+        for w in words:
+            docs_of.setdefault(normal_form(w), set()).add(k)
+    common = sorted(((len(d), f) for f, d in docs_of.items() if len(d) >= min_docs), key=lambda x: (-x[0], x[1]))[:max_words]
     net = Network({f: k + 1 for k, (_, f) in enumerate(common)}, start_weights(len(common) + 1, rng))
-    if not texts or len(set(labels.tolist())) < 2:
+    if not cut or len(set(labels.tolist())) < 2:
         net.scale = (0.0, float(np.log((prior + 1e-3) / (1 - prior + 1e-3))))
         return net
-    # One text in four calibrates the score; the network doesn't learn from it.
-    apart = rng.random(len(texts)) < 0.25
+    data = Encoded(net.vocabulary, cut)
+    # One document in five calibrates the score; the network doesn't learn from it.
+    apart = rng.random(len(labels)) < 0.2
     if len(set(labels[apart].tolist())) < 2 or len(set(labels[~apart].tolist())) < 2:
         apart[:] = False
-    kept = np.flatnonzero(~apart)
-    data = Encoded(net.vocabulary, [texts[k] for k in kept])
-    y = labels[kept][data.owner].astype(np.float32)
-    pos, neg = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    y = labels[owner]
+    learn = ~apart[owner]
+    pos, neg = np.flatnonzero(learn & (y == 1)), np.flatnonzero(learn & (y == 0))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.weights.items()}
-    top = None
+    half, first, top = batch // 2, steps // 4, None
     for step in range(steps):
-        if step and step % max(1, steps // 6) == 0 and step >= steps // 2:
-            s = net.window_logits(data)
-            order = np.lexsort((s, data.owner))
-            last = np.flatnonzero(np.append(np.diff(data.owner[order]) > 0, True))
-            top = order[last]
-        half = batch // 2
-        if top is None or step % 2:
-            pick = np.concatenate([rng.choice(pos, half), rng.choice(neg, half)])
-        else:
-            pick = np.concatenate([rng.choice(top[y[top] == 1], half), rng.choice(top[y[top] == 0], half)])
-        weight = np.where(y[pick] == 1, prior, 1 - prior).astype(np.float32) * 2 / batch
-        _, g = gradients(net.weights, *data.subset(pick), y[pick], weight)
+        if step >= first and (step - first) % max(1, steps // 7) == 0:
+            top = highest(net.window_logits(data), owner)
+            high_pos, high_neg = (top[learn[top] & (y[top] == c)] for c in (1, 0))
+        ones = pos if top is None else high_pos
+        zeros = neg if top is None or step % 2 else high_neg
+        pick = np.concatenate([rng.choice(ones, half), rng.choice(zeros, batch - half)])
+        _, g = gradients(net.weights, *data.subset(pick), y[pick].astype(np.float32), np.full(batch, 1.0 / batch, np.float32))
         rate = 0.02 * (1.0 if step < steps * 0.6 else 0.3 if step < steps * 0.85 else 0.1)
         for k, v in g.items():
             m, s2 = moments[k]
             m += 0.1 * (v - m)
             s2 += 0.01 * (v * v - s2)
             fix = np.sqrt(1 - 0.99 ** (step + 1)) / (1 - 0.9 ** (step + 1))
-            decay = 1 - rate * (0.02 if k in ("words", "chars") else 0.002)
+            decay = 1 - rate * (0.05 if k in ("words", "chars") else 0.002)
             net.weights[k] = (decay * net.weights[k] - rate * fix * m / (np.sqrt(s2) + 1e-6)).astype(np.float32)
-    # Calibration of the largest window logit: logistic, weighted to the prior.
-    if apart.any():
-        texts, labels = [t for t, a in zip(texts, apart) if a], labels[apart]
-    t = net.text_logits(texts)
-    wt = np.where(labels == 1, prior / max(1, (labels == 1).sum()), (1 - prior) / max(1, (labels == 0).sum()))
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = 1.0 / (1.0 + np.exp(-np.clip(a * t + b, -30, 30)))
-        e, v = wt * (p - labels), wt * p * (1 - p) + 1e-9
-        hess = np.array([[(v * t * t).sum() + 1e-6, (v * t).sum()], [(v * t).sum(), v.sum() + 1e-6]])
-        da, db = np.linalg.solve(hess, [(e * t).sum() + 1e-6 * (a - 1), e.sum()])
-        a, b = a - float(np.clip(da, -1, 1)), b - float(np.clip(db, -1, 1))
-    net.scale = (max(a, 0.05), b)
+    # Calibration of a document's highest logit: logistic, weighted to the prior.
+    s = net.window_logits(data)
+    at = highest(s, owner)
+    at = at[apart[owner[at]]] if apart.any() else at
+    net.scale = logistic(s[at], y[at], prior)
     return net
 
 
+def highest(score: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The row with the highest score of each owner."""
+    order = np.lexsort((score, owner))
+    return order[np.append(np.diff(owner[order]) > 0, True)]
+
+
+def logistic(t: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and offset of P(1 | t), the classes weighing as in ``prior``."""
+    weight = np.where(y == 1, prior / max(1, (y == 1).sum()), (1 - prior) / max(1, (y == 0).sum()))
+    mean, spread = float(t.mean()), float(t.std()) + 1e-6
+    z, a, b = (t - mean) / spread, 1.0, 0.0
+    for _ in range(100):
+        p = 1.0 / (1.0 + np.exp(-np.clip(a * z + b, -30, 30)))
+        e, v = weight * (p - y), weight * p * (1 - p)
+        hess = np.array([[(v * z * z).sum() + 1e-4, (v * z).sum()], [(v * z).sum(), v.sum() + 1e-4]])
+        da, db = np.linalg.solve(hess, [(e * z).sum() + 1e-4 * (a - 1), e.sum()])
+        a, b = a - float(np.clip(da, -1, 1)), b - float(np.clip(db, -1, 1))
+    a = max(a, 0.05)
+    return a / spread, b - a * mean / spread
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", per_class: int = 2500, windows_per_text: int = 40,
+        label_col: str = "toxic", per_class: int = 2500, windows_per_text: int = 64,
         mod: int = 3, rest: int = 1, **training) -> Network:
     """Fit on at most ``per_class`` documents of each label outside the
     held-out fold, and of each at most ``windows_per_text`` windows spread
@@ -319,8 +331,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = (id_text(docs, id_col, text_col).join(F.broadcast(picked), "doc_id")
              .mapInArrow(spread, "doc_id long, label int, words string").toArrow())
     rows = sorted(zip(*(found[c].to_pylist() for c in ("doc_id", "label", "words"))))
-    texts = [r[2].split() for r in rows]
-    return train(texts, np.array([r[1] for r in rows], dtype=float), float(share or 0.0), **training)
+    number = {i: k for k, i in enumerate(dict.fromkeys(r[0] for r in rows))}
+    label = {number[r[0]]: float(r[1]) for r in rows}
+    return train([r[2].split() for r in rows], np.array([number[r[0]] for r in rows], np.int64),
+                 np.array([label[k] for k in range(len(label))]), float(share or 0.0), **training)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, network: Network | None = None,
