@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vitalis import schemas as S
 from vitalis.plans.registry import register
-from vitalis.session import checkpoint_dir
+from vitalis.session import scratch
 from vitalis.sources import fixtures as FX
 from vitalis.streaming import monitor as MO
 
@@ -46,7 +46,8 @@ p AS (SELECT window_start, n AS requests,
 
 def _avg_conf_cte(src: str) -> str:
     return f"""
-ac AS (SELECT window_start, count(*) AS predictions, round(sum(confidence) / count(*), 6) AS avg_confidence
+ac AS (SELECT window_start, count(*) AS predictions, round(sum(confidence) / count(*), 6) AS avg_confidence,
+       sum(confidence) / count(*) AS raw_confidence
        FROM ({src}) s GROUP BY window_start)"""
 
 
@@ -58,7 +59,7 @@ WITH ec AS (SELECT window_start, count(*) FILTER (WHERE status >= 400) AS errors
 ser AS (
   SELECT 'HighErrorRate' AS rule, window_start, CAST(errors AS DOUBLE) AS value, errors > 5 AS condition FROM ec
   UNION ALL SELECT 'HighPredictionDuration', window_start, p95_bucket, p95_bucket > 1.0 FROM p
-  UNION ALL SELECT 'LowAverageConfidence', window_start, avg_confidence, avg_confidence < 0.5 FROM ac),
+  UNION ALL SELECT 'LowAverageConfidence', window_start, avg_confidence, raw_confidence < 0.5 FROM ac),
 t AS (SELECT rule, window_start, value,
         CAST(epoch(window_start) / 3600 AS BIGINT) - row_number() OVER (PARTITION BY rule ORDER BY window_start) AS island
       FROM ser WHERE condition),
@@ -96,7 +97,7 @@ def q_mon_p95_duration(spark, sf):
     return MO.hist_quantile(FX.requests(spark, sf), "duration_s", 0.95, S.DURATION_BUCKETS)
 
 
-@register("mon_avg_confidence", ["requests"], "WITH " + _avg_conf_cte(SLIDE).strip() + "\nSELECT * FROM ac")
+@register("mon_avg_confidence", ["requests"], "WITH " + _avg_conf_cte(SLIDE).strip() + "\nSELECT window_start, predictions, avg_confidence FROM ac")
 def q_mon_avg_confidence(spark, sf):
     return MO.avg_confidence(FX.requests(spark, sf))
 
@@ -141,39 +142,95 @@ def q_mon_totals(spark, sf):
     return MO.totals(FX.requests(spark, sf))
 
 
-def _scratch(spark, name):
-    import uuid
-    return f"{checkpoint_dir(spark).rstrip('/')}/vitalis-{name}-{uuid.uuid4().hex}"
+#: Windows that the watermark has closed once all events are read: the stream's answer.
+CLOSED = "window_start + INTERVAL {hours} HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM requests)"
 
 
-@register("mon_stream_errors")
+def _closed(sql: str, hours: int = 6) -> str:
+    return f"SELECT * FROM ({sql}) x WHERE " + CLOSED.format(hours=hours)
+
+
+def _streamed(spark, sf, make, name):
+    """Drain a windowed aggregate of the event stream in append mode: the
+    windows that the watermark closed, and the number of rows it dropped."""
+    out = scratch(spark, name)
+    late = MO.run_to_parquet(make(MO.stream_requests(spark, sf).withWatermark("ts", MO.WATERMARK)), out, out + "-ckpt")
+    df = spark.read.parquet(out)
+    return df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")), late
+
+
+@register("mon_stream_errors", ["requests"], _closed(f"""
+SELECT window_start, count(*) FILTER (WHERE status >= 400) AS errors, count(*) AS requests FROM ({TUMBLE}) w
+GROUP BY window_start"""))
 def q_mon_stream_errors(spark, sf):
     """Streaming form of ``mon_error_count``: watermark 10 minutes, append
-    mode, so only windows closed by the watermark are emitted (late rows
-    are dropped by the engine)."""
-    st = MO.stream_requests(spark, sf).withWatermark("ts", MO.WATERMARK)
-    agg = (st.groupBy(F.window("ts", MO.WINDOW).alias("w"))
-             .agg(F.count_if(MO.is_error()).alias("errors"), F.count(F.lit(1)).alias("requests"))
-             .select(F.col("w.start").alias("window_start"), "errors", "requests"))
-    out, ck = _scratch(spark, "stream-errors"), _scratch(spark, "stream-errors-ckpt")
-    MO.run_to_parquet(agg, out, ck, "append")
-    return spark.read.parquet(out)
-
-
-@register("mon_stream_totals")
+    mode, so only windows closed by the watermark are emitted; late rows
+    are counted by ``mon_stream_late_rows``."""
+    return _streamed(spark, sf, MO.error_counts, "stream-errors")[0]
+
+
+@register("mon_stream_request_count", ["requests"], _closed(f"""
+SELECT window_start, handler, CAST(CAST(floor(status / 100) AS INT) AS VARCHAR) || 'xx' AS status_class,
+  count(*) AS requests FROM ({TUMBLE}) w GROUP BY ALL"""))
+def q_mon_stream_request_count(spark, sf):
+    return _streamed(spark, sf, MO.request_counts, "stream-requests")[0]
+
+
+@register("mon_stream_duration_hist", ["requests"], _closed(_hist_sql(TUMBLE, "duration_s", DUR)))
+def q_mon_stream_duration_hist(spark, sf):
+    return _streamed(spark, sf, lambda d: MO.cumulative_hist(d, "duration_s", S.DURATION_BUCKETS), "stream-durations")[0]
+
+
+@register("mon_stream_confidence_hist", ["requests"], _closed(_hist_sql(TUMBLE, "confidence", CONF)))
+def q_mon_stream_confidence_hist(spark, sf):
+    return _streamed(spark, sf, lambda d: MO.cumulative_hist(d, "confidence", S.CONFIDENCE_BUCKETS), "stream-confidences")[0]
+
+
+@register("mon_stream_p95_duration", ["requests"], _closed(
+    "WITH " + _p95_cte(TUMBLE).strip() + "\nSELECT window_start, requests, p95_bucket FROM p"))
+def q_mon_stream_p95_duration(spark, sf):
+    return _streamed(spark, sf, lambda d: MO.hist_quantile(d, "duration_s", 0.95, S.DURATION_BUCKETS, exact=False)
+                     .drop("p95_exact"), "stream-p95")[0]
+
+
+@register("mon_stream_avg_confidence", ["requests"], _closed(
+    "WITH " + _avg_conf_cte(SLIDE).strip() + "\nSELECT window_start, predictions, avg_confidence FROM ac"))
+def q_mon_stream_avg_confidence(spark, sf):
+    return _streamed(spark, sf, MO.avg_confidence, "stream-avg-confidence")[0]
+
+
+@register("mon_stream_late_rows")
+def q_mon_stream_late_rows(spark, sf):
+    """How many rows of the landed events the watermark dropped."""
+    late = _streamed(spark, sf, MO.error_counts, "stream-late")[1]
+    return spark.createDataFrame([("error_count", late)], "stream string, late_rows long")
+
+
+def _latest(spark, sf, make, name):
+    """Drain an all-time aggregate (complete mode) and read its last state."""
+    out = scratch(spark, name)
+    last = MO.run_latest(make(MO.stream_requests(spark, sf)), out, out + "-ckpt")
+    return spark.read.parquet(f"{out}/batch={last}")
+
+
+@register("mon_stream_model_info", ["requests"], """
+SELECT handler, max_by(model_version, (ts, event_id)) AS model_version, max(ts) AS last_seen FROM requests GROUP BY handler""")
+def q_mon_stream_model_info(spark, sf):
+    return _latest(spark, sf, MO.model_info, "stream-model-info").withColumn("last_seen", F.col("last_seen").cast("timestamp_ntz"))
+
+
+@register("mon_stream_totals", ["requests"], """
+SELECT count(*) AS requests, count(*) FILTER (WHERE status >= 400) AS errors FROM requests""")
 def q_mon_stream_totals(spark, sf):
     """Streaming ``mon_totals``: a stateful running count in complete mode."""
-    st = MO.stream_requests(spark, sf)
-    agg = st.agg(F.count(F.lit(1)).alias("requests"), F.count_if(MO.is_error()).alias("errors"))
-    name = "vitalis_totals_" + __import__("uuid").uuid4().hex[:8]
-    q = agg.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+    return _latest(spark, sf, MO.totals, "stream-totals")
 
 
-@register("mon_stream_alerts")
+@register("mon_stream_alerts", ["requests"], _closed(
+    _series_sql() + "SELECT rule, window_start, value, pos AS run_length FROM tp WHERE pos > hold"))
 def q_mon_stream_alerts(spark, sf):
     """Streaming hold-for: per rule, event-time state keeps the start of
     the current run of true windows; output when the hold is exceeded."""
     from vitalis.streaming.alerts import stream_alerts
-    return stream_alerts(spark, sf)
+    out = stream_alerts(spark, sf)
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -30,16 +30,17 @@ def _hold_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator
     hold = MO.HOLD_STEPS[rule]
     last_k, run = state.get if state.exists else (None, 0)
     rows = []
-    for pdf in pdfs:
-        for r in pdf.sort_values("window_start").itertuples(index=False):
-            k = int(pd.Timestamp(r.window_start).value // 1_000_000_000 // MO.SLIDE_SECONDS)
-            if r.condition:
-                run = run + 1 if last_k is not None and k == last_k + 1 else 1
-                last_k = k
-                if run > hold:
-                    rows.append((rule, r.window_start, float(r.value), run))
-            else:
-                last_k, run = k, 0
+    # The whole group in order of time, however many batches it comes in: one row
+    # per closed window of the rule, so it is bounded by time span / slide.
+    for r in pd.concat(list(pdfs)).sort_values("window_start").itertuples(index=False):
+        k = int(pd.Timestamp(r.window_start).value // 1_000_000_000 // MO.SLIDE_SECONDS)
+        if r.condition:
+            run = run + 1 if last_k is not None and k == last_k + 1 else 1
+            last_k = k
+            if run > hold:
+                rows.append((rule, r.window_start, float(r.value), run))
+        else:
+            last_k, run = k, 0
     state.update((last_k, run))
     yield pd.DataFrame(rows, columns=["rule", "window_start", "value", "run_length"])
 

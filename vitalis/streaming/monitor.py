@@ -12,6 +12,7 @@ in 30 days at sf0.01), so sizes are parameters (6 h windows, 1 h slide).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -118,14 +119,14 @@ def rule_series(df: DataFrame, size: str = WINDOW, slide: str = SLIDE) -> DataFr
         *[F.count_if(F.col("duration_s") <= F.lit(b)).alias(f"c{i}") for i, b in enumerate(bounds)],
         F.count(F.lit(1)).alias("n"), F.sum("confidence").alias("_conf"))
     p95 = _bucket_quantile(0.95, bounds)
-    avg = F.round(F.col("_conf") / F.col("n"), 6)
+    avg = F.col("_conf") / F.col("n")  # the rule tests the raw mean; only the shown value is rounded
     errors = F.col("errors").cast("double")
     rules = F.array(
         F.struct(F.lit("HighErrorRate").alias("rule"), errors.alias("value"),
                  (F.col("errors") > S.ALERT_ERROR_INCREASE).alias("condition")),
         F.struct(F.lit("HighPredictionDuration").alias("rule"), p95.alias("value"),
                  (p95 > S.ALERT_P95_SECONDS).alias("condition")),
-        F.struct(F.lit("LowAverageConfidence").alias("rule"), avg.alias("value"),
+        F.struct(F.lit("LowAverageConfidence").alias("rule"), F.round(avg, 6).alias("value"),
                  (avg < S.ALERT_MIN_CONFIDENCE).alias("condition")))
     return (g.select(F.col("w.start").alias("window_start"), F.explode(rules).alias("r"))
              .select("r.rule", "window_start", "r.value", "r.condition"))
@@ -194,7 +195,8 @@ def stream_requests(spark, sf_dir: str) -> DataFrame:
     batch view, ``ts`` cast to ``timestamp`` for the watermark."""
     from vitalis.sources.tables import table
     schema = table(spark, sf_dir, "events").schema
-    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # A pattern, as a stream's path may be one file or a folder of part files.
+    ev = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
     return ev.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("handler"),
         F.when(F.col("event_type") == "error", 500).when(F.col("event_id") % 10 == 0, 422).otherwise(200).alias("status"),
@@ -203,9 +205,32 @@ def stream_requests(spark, sf_dir: str) -> DataFrame:
         F.when(F.col("event_id") % 3 == 0, "v2").otherwise("v1").alias("model_version"))
 
 
-def run_to_parquet(stream_df: DataFrame, out_path: str, ckpt: str, mode: str = "append") -> None:
+def run_to_parquet(stream_df: DataFrame, out_path: str, ckpt: str, mode: str = "append") -> int:
     """Drain what has landed (``availableNow``) into a parquet sink with a
-    checkpoint, so a restarted query resumes instead of recounting."""
+    checkpoint, so a restarted query resumes instead of recounting. Returns
+    how many rows the watermark dropped as too late."""
     q = (stream_df.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", ckpt)
                   .trigger(availableNow=True).start(out_path))
     q.awaitTermination()
+    return late_rows(q)
+
+
+def run_latest(stream_df: DataFrame, out_path: str, ckpt: str) -> int:
+    """As :func:`run_to_parquet` for a result that is updated as a whole
+    (complete mode): each batch writes it anew, in a folder of its own that a
+    repeated batch overwrites. Returns the number of the last batch."""
+    last = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
+        last.append(number)
+
+    q = (stream_df.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", ckpt)
+                  .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return last[-1] if last else -1
+
+
+def late_rows(query) -> int:
+    """Rows that a finished query's stateful operators dropped as too late."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in json.loads(p.json)["stateOperators"])
