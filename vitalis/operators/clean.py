@@ -44,6 +44,14 @@ def target_ordinal(c: str | Column = "target") -> Column:
     return F.array_position(F.array(*[F.lit(t) for t in S.TARGET_ORDER]), col)
 
 
+def require_unique_codes(codebook: DataFrame) -> None:
+    """A code book with a repeated code would multiply the rows that use it:
+    it is refused, whatever its size (a few of the codes are named)."""
+    twice = codebook.groupBy("code").count().where("count > 1").orderBy("code").limit(5).collect()
+    if twice:
+        raise ValueError(f"repeated codes in a code book: {[r['code'] for r in twice]}")
+
+
 def decode(df: DataFrame, codebook: DataFrame, code_col: str, out_col: str,
            positive_only: bool = True) -> DataFrame:
     """``prj_code_label`` / ``join_small_dim``: left lookup, NULL when
@@ -57,30 +65,22 @@ def decode(df: DataFrame, codebook: DataFrame, code_col: str, out_col: str,
     cb = codebook.select(F.col("code").alias("_code"), F.col("label").alias(out_col))
     if positive_only:
         cb = cb.where(F.col("_code") > 0)
+    require_unique_codes(cb.withColumnRenamed("_code", "code"))
     if small_enough(cb, BROADCAST_MAX_ROWS):
         cb = F.broadcast(cb)
     return df.join(cb, df[code_col] == cb["_code"], "left").drop("_code")
 
 
-def decode_complaints(df: DataFrame, codebook: DataFrame, key: str = "visit_row",
-                      cols: Sequence[str] = S.RFV_COLUMNS) -> DataFrame:
+def decode_complaints(df: DataFrame, codebook: DataFrame, cols: Sequence[str] = S.RFV_COLUMNS) -> DataFrame:
     """``join_codebook_multi``: decode all complaint slots against one code
-    book. A code book under :data:`BROADCAST_MAX_ROWS` (checked by a
-    bounded count) is broadcast once per slot, so fact rows never shuffle;
-    a larger one goes the long way: unpivot to (key, slot, code), one
-    shuffle join, regroup by key into a slot map, join back on ``key``."""
+    book, one left lookup per slot. Repeated codes are refused. The plan is
+    the same at every size; only whether a lookup is broadcast (its size is
+    checked) or shuffled differs, so the answer can't."""
     from vitalis.session import BROADCAST_MAX_ROWS, small_enough
 
     cb = codebook.where(F.col("code") > 0).select(F.col("code").cast("bigint").alias("code"), "label")
-    if small_enough(cb, BROADCAST_MAX_ROWS):
-        return decode_complaints_wide(df, cb, cols, broadcast=True)
-    long = df.select(key, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("slot"), F.col(c).cast("bigint").alias("code"))
-        for i, c in enumerate(cols)])).alias("s")).select(key, "s.slot", "s.code")
-    dec = (long.join(cb, "code").groupBy(key)
-               .agg(F.map_from_entries(F.collect_list(F.struct("slot", "label"))).alias("_m")))
-    dec = dec.select(key, *[F.col("_m")[i].alias(f"{c}_description") for i, c in enumerate(cols)])
-    return df.join(dec, key, "left")
+    require_unique_codes(cb)
+    return decode_complaints_wide(df, cb, cols, broadcast=small_enough(cb, BROADCAST_MAX_ROWS))
 
 
 def decode_complaints_wide(df: DataFrame, codebook: DataFrame,
@@ -135,12 +135,17 @@ def eda_cohort(visits: DataFrame, rfv_codebook: DataFrame, sex_codebook: DataFra
     """Eligible visits decoded and cleaned with the null policy, plus the
     normalised primary diagnosis and its description: the table the
     analytic queries run on (``sink_eda_artifact`` writes it)."""
+    from vitalis.session import small_enough
+
     v = eligible(visits).withColumn("target", target_expr())
     v = decode(v, sex_codebook, "SEX", "sex_label", positive_only=False)
     v = decode_complaints(v, rfv_codebook)
     v = clean_vitals(v, policy="null")
     v = v.withColumn("DIAG1_code", X.diag_normalize("DIAG1"))
+    # Few codes name many visits: shuffling the visits on the code would gather
+    # them in a few tasks, so a small reference (its size is checked) is broadcast.
     dr = diag_ref.select(F.col("code").alias("_dcode"), F.col("description").alias("DIAG1_description"))
+    dr = F.broadcast(dr) if small_enough(dr) else dr
     v = v.join(dr, v["DIAG1_code"] == dr["_dcode"], "left").drop("_dcode")
     return v
 

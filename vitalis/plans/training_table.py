@@ -17,8 +17,9 @@ from vitalis import schemas as S
 from vitalis.functions import nulls as N
 from vitalis.functions import text as X
 from vitalis.operators import clean as C
+from vitalis.operators import gates as G
 from vitalis.operators.split import assign_splits
-from vitalis.session import materialize
+from vitalis.session import discard, materialize, scratch
 from vitalis.sources import fixtures as FX
 
 
@@ -30,7 +31,7 @@ def decoded_visits(visits: DataFrame, rfv_codebook: DataFrame, sex_codebook: Dat
     v = C.decode(v, sex_codebook, "SEX", "sex_label", positive_only=False)
     v = v.withColumn("sex_label", N.fail_if(F.col("sex_label").isNull(),
                                             "sex codes without a label", F.col("sex_label")))
-    v = C.decode_complaints(v, rfv_codebook, key="visit_row")
+    v = C.decode_complaints(v, rfv_codebook)
     for c in S.RFV_COLUMNS:
         d = f"{c}_description"
         v = v.withColumn(d, N.fail_if((F.col(c) > 0) & F.col(d).isNull(),
@@ -66,11 +67,31 @@ def build_training_table(visits: DataFrame, rfv_codebook: DataFrame, sex_codeboo
     rows = training_rows(decoded_visits(visits, rfv_codebook, sex_codebook), version)
     if not materialize_rows:
         return assign_splits(rows).select(*S.TRAINING_COLUMNS)
-    rows = materialize(rows, "training-rows")
-    table = materialize(assign_splits(rows).select(*S.TRAINING_COLUMNS), "training-table", partition_by=("split",))
+    spark = rows.sparkSession
+    draft = scratch(spark, "training-rows")
+    rows.write.parquet(draft)
+    table = materialize(assign_splits(spark.read.parquet(draft)).select(*S.TRAINING_COLUMNS), "training-table",
+                        partition_by=("split",))
+    discard(spark, draft)
     return table.select(*S.TRAINING_COLUMNS)
 
 
-def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_training_table(FX.visits(spark, sf_dir), FX.rfv_codebook(spark, sf_dir),
-                                FX.sex_codebook(spark))
+#: Checks of the training contract that stop a build. Equal texts with different
+#: targets are a property of the source: the gate query reports them.
+ENFORCED = ("schema_valid", "not_empty", "no_nulls", "record_id_unique", "version_valid", "text_not_blank",
+            "text_hash_valid", "text_in_one_split")
+_published: dict[tuple, DataFrame] = {}
+
+
+def training_table(spark: SparkSession, sf_dir: str, version: str = S.DATASET_VERSION) -> DataFrame:
+    """The training table of the tables under ``sf_dir``: built once for an
+    application, its input files and a dataset version, and published only if
+    the enforced checks of the contract hold; every gate, report and fit reads
+    what was published."""
+    visits, codebook = FX.visits(spark, sf_dir), FX.rfv_codebook(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, version, tuple(sorted(visits.inputFiles() + codebook.inputFiles())))
+    if key not in _published:
+        table = build_training_table(visits, codebook, FX.sex_codebook(spark), version)
+        G.enforce(G.training_contract(table, version).where(F.col("check").isin(*ENFORCED)))
+        _published[key] = table
+    return _published[key]

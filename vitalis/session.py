@@ -64,15 +64,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of :func:`checkpoint_dir` that nothing reads
+    any more; any other path is refused."""
+    base = checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(f"{base}/vitalis-"):
+        raise ValueError(f"not a scratch folder: {path}")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new scratch path under the shared checkpoint folder."""
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/vitalis-{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df, name: str, partition_by: tuple[str, ...] = ()):
     """Cut lineage by writing ``df`` as parquet under the shared checkpoint
     folder and reading it back. Survives executor loss (unlike cached or
     locally checkpointed blocks) and lets later stages scan it cheaply;
     with ``partition_by`` a filter on those columns prunes whole folders."""
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/vitalis-{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -80,11 +95,18 @@ def materialize(df, name: str, partition_by: tuple[str, ...] = ()):
     return spark.read.parquet(path)
 
 
-def small_enough(df, max_rows: int) -> bool:
-    """Proven size bound before a broadcast: reads at most ``max_rows + 1``
-    rows (the scan stops early), so the check itself stays cheap."""
-    return df.limit(max_rows + 1).count() <= max_rows
+# Largest dimension broadcast to every task; beyond it, shuffle joins.
+BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-# Largest dimension broadcast to every task (rows); beyond it, shuffle joins.
-BROADCAST_MAX_ROWS = 500_000
+def small_enough(df, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Proven size bound before a broadcast: rows and bytes of ``df`` from one
+    aggregate with partial sums (no limit, which would send up to
+    ``max_rows`` rows of each partition through one task)."""
+    from pyspark.sql import functions as F
+    width = F.lit(0)
+    for c, kind in df.dtypes:
+        width = width + (F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(8))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes

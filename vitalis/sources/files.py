@@ -25,11 +25,14 @@ def fixed_width_reference(spark: SparkSession, path: str, code_start: int = 7, c
 
 def file_checksums(spark: SparkSession, base_dir: str, glob: str = "*") -> DataFrame:
     """``src_file_checksum``: SHA-256 and size of every file under
-    ``base_dir`` with a ``binaryFile`` scan -- one task per file, in
+    ``base_dir``, those in the folders of multi-file tables too, by its path
+    below ``base_dir``; a ``binaryFile`` scan, one task per file, in
     parallel. Spark rows cap a file at 2 GB; larger landings need a
     chunked reader outside Spark."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(base_dir)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"),
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(base_dir))
+    name = base_dir.rstrip("/").rsplit("/", 1)[-1]
+    return files.select(F.regexp_replace(F.expr(f"substring_index(path, '/{name}/', -1)"), "^/+", "").alias("file"),
                         F.col("length").alias("bytes"),
                         F.sha2("content", 256).alias("sha256"))
 
