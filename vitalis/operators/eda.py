@@ -65,17 +65,19 @@ def primary_diagnosis() -> Column:
     return F.coalesce(F.col("DIAG1_description"), F.col("DIAG1_code"))
 
 
-def outcomes(eda: DataFrame) -> DataFrame:
-    """``agg_outcomes``: visits, admission / critical-care / death rates."""
+def outcomes(eda: DataFrame, digits: int | None = 6) -> DataFrame:
+    """``agg_outcomes``: visits, admission / critical-care / death rates,
+    rounded for display (``digits=None``: raw, for comparisons)."""
+    rate = lambda c: F.avg(c) if digits is None else F.round(F.avg(c), digits)
     adm = (F.coalesce(F.col("ADMITHOS") == 1, F.lit(False)) | F.coalesce(F.col("OBSHOS") == 1, F.lit(False)))
     crit = F.coalesce(F.col("ADMIT") == 1, F.lit(False))
     died = F.coalesce(F.col("DIEDED") == 1, F.lit(False))
     return eda.groupBy("target").agg(
         F.count(F.lit(1)).alias("visits"),
-        F.round(F.avg(adm.cast("int")), 6).alias("admission_rate"),
-        F.round(F.avg(crit.cast("int")), 6).alias("critical_care_rate"),
+        rate(adm.cast("int")).alias("admission_rate"),
+        rate(crit.cast("int")).alias("critical_care_rate"),
         F.sum(died.cast("int")).cast("bigint").alias("deaths_in_ed"),
-        F.round(F.avg(died.cast("int")), 6).alias("death_rate"))
+        rate(died.cast("int")).alias("death_rate"))
 
 
 VITAL_FIELDS = ("temperature_f", "heart_rate", "respiratory_rate", "systolic_bp",

@@ -9,7 +9,7 @@ binary problems report the largest label as the positive class.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -47,16 +47,21 @@ def class_stats(cm: DataFrame) -> DataFrame:
                2 * F.col("tp") / (F.col("support") + F.col("predicted"))).otherwise(0.0).alias("f1"))
 
 
-def by_class(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataFrame:
+def by_class(df: DataFrame, y: str = "y_true", p: str = "y_pred", digits: int | None = 6) -> DataFrame:
     """``eval_by_class``: precision, recall, F1 and support per true label."""
     s = class_stats(confusion(df, y, p)).where(F.col("support") > 0)
-    return s.select(F.col("label").alias("class"), *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")],
+    return s.select(F.col("label").alias("class"), *[_shown(c, digits) for c in ("precision", "recall", "f1")],
                     F.col("support").cast("bigint").alias("support"))
 
 
-def global_metrics(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataFrame:
+def _shown(c: str, digits: int | None) -> Column:
+    return F.col(c) if digits is None else F.round(c, digits).alias(c)
+
+
+def global_metrics(df: DataFrame, y: str = "y_true", p: str = "y_pred", digits: int | None = 6) -> DataFrame:
     """``eval_global``: one row of accuracy, default-average and macro /
-    weighted precision, recall and F1."""
+    weighted precision, recall and F1, rounded for display; gates pass
+    ``digits=None`` and compare the raw values."""
     s = class_stats(confusion(df, y, p))
     n_true_labels = F.count_if(F.col("support") > 0)
     pos = F.max(F.when(F.col("support") > 0, F.col("label")))
@@ -78,7 +83,7 @@ def global_metrics(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataF
         F.when(binary, F.col("_pr")).otherwise(F.col("recall_macro")).alias("recall"),
         F.when(binary, F.col("_pf")).otherwise(F.col("f1_macro")).alias("f1"),
         "precision_macro", "recall_macro", "f1_macro", "precision_weighted", "recall_weighted", "f1_weighted")
-    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+    return out.select(*[_shown(c, digits) for c in out.columns])
 
 
 def metrics_long(row: DataFrame) -> DataFrame:

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalis.functions import nulls as N
 from vitalis.functions import text as X
+from vitalis.operators.score import strip_text
 
 PAD_TOKEN = "<PAD>"
 UNK_TOKEN = "<UNK>"
@@ -92,7 +94,14 @@ def encode_pad(docs: DataFrame, doc: str, text: str, vocab: DataFrame, max_len:
 def text_checks(docs: DataFrame, text: str) -> DataFrame:
     """``feat_text_validate``: counts of missing and blank texts."""
     return docs.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(text).isNull()).alias("null_texts"),
-                    F.count_if(F.trim(F.col(text)) == "").alias("blank_texts"))
+                    F.count_if(strip_text(text) == "").alias("blank_texts"))
+
+
+def reject_texts(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` unchanged, or an error in the same job at a missing or blank
+    text (any white space), as a text model refuses such input."""
+    bad = F.col(text).isNull() | (strip_text(text) == "")
+    return docs.withColumn(text, N.fail_if(bad, f"missing or blank text in {text}", F.col(text)))
 
 
 def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -134,8 +143,9 @@ def mode_value(df: DataFrame, col: str) -> DataFrame:
 
 
 def impute_mode(df: DataFrame, col: str, mode: DataFrame | None = None) -> DataFrame:
+    # Left, as a column without any value has no mode and stays null.
     mode = mode if mode is not None else mode_value(df, col)
-    j = df.withColumn("_g", F.lit(0)).join(F.broadcast(mode.withColumn("_g", F.lit(0))), "_g")
+    j = df.withColumn("_g", F.lit(0)).join(F.broadcast(mode.withColumn("_g", F.lit(0))), "_g", "left")
     return j.select(*[F.coalesce(F.col(c), F.col("mode")).alias(c) if c == col else F.col(c) for c in df.columns])
 
 

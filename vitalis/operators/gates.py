@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vitalis import schemas as S
 from vitalis.functions import text as X
+from vitalis.operators.score import strip_text
 
 
 def checks_long(row: DataFrame, names: list[str]) -> DataFrame:
@@ -29,6 +30,16 @@ def enforce(checks: DataFrame) -> None:
         raise ValueError("; ".join(sorted(failed)))
 
 
+def _exactly(col: str, values: Iterable[str], name: str) -> list[Column]:
+    """One aggregate: every known value occurs and no other does. It holds one
+    flag per known value, however many values a dirty column has."""
+    values = list(values)
+    seen = F.lit(True)
+    for v in values:
+        seen = seen & F.bool_or(F.col(col) == v)
+    return [(seen & F.bool_and(F.col(col).isin(values))).alias(name)]
+
+
 def training_contract(df: DataFrame, version: str = S.DATASET_VERSION) -> DataFrame:
     """``dq_training_contract``: the 11 checks of the training table. The
     row-level checks are one aggregate; the two group checks are one
@@ -41,10 +52,9 @@ def training_contract(df: DataFrame, version: str = S.DATASET_VERSION) -> DataFr
         (F.count(F.lit(1)) > 0).alias("not_empty"),
         (~F.bool_or(any_null)).alias("no_nulls"),
         (F.count(F.lit(1)) == F.countDistinct("record_id")).alias("record_id_unique"),
-        F.sort_array(F.collect_set("target")).alias("_targets"),
-        F.sort_array(F.collect_set("split")).alias("_splits"),
+        *_exactly("target", S.TARGET_ORDER, "classes_valid"), *_exactly("split", S.SPLIT_NAMES, "splits_valid"),
         F.bool_and(F.col("dataset_version") == version).alias("version_ok"),
-        F.bool_and(F.trim(F.col("clinical_text")) != "").alias("text_not_blank"),
+        F.bool_and(F.coalesce(strip_text("clinical_text") != "", F.lit(False))).alias("text_not_blank"),
         F.bool_and(F.col("text_hash") == X.text_hash("clinical_text")).alias("text_hash_valid"),
         F.lit(0).alias("_g"))
     # "At most one distinct value per group" is min = max (both skip
@@ -59,8 +69,8 @@ def training_contract(df: DataFrame, version: str = S.DATASET_VERSION) -> DataFr
     out = j.select(
         F.lit(schema_ok).alias("schema_valid"), "not_empty", F.coalesce("no_nulls", F.lit(True)).alias("no_nulls"),
         "record_id_unique",
-        (F.col("_targets") == F.array(*[F.lit(t) for t in sorted(S.TARGET_ORDER)])).alias("classes_valid"),
-        (F.col("_splits") == F.array(*[F.lit(t) for t in sorted(S.SPLIT_NAMES)])).alias("splits_valid"),
+        F.coalesce("classes_valid", F.lit(False)).alias("classes_valid"),
+        F.coalesce("splits_valid", F.lit(False)).alias("splits_valid"),
         F.coalesce("version_ok", F.lit(False)).alias("version_valid"),
         F.coalesce("text_not_blank", F.lit(False)).alias("text_not_blank"),
         F.coalesce("text_hash_valid", F.lit(False)).alias("text_hash_valid"),

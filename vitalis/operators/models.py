@@ -13,7 +13,7 @@ import math
 import time
 from collections.abc import Mapping
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml import classification as MC
 from pyspark.ml import feature as MF
 from pyspark.ml import regression as MR
@@ -51,6 +51,36 @@ def dummy_classifier(train: DataFrame, label: str) -> DataFrame:
                     (F.row_number().over(r) == 1).alias("is_majority"))
 
 
+class Dummy(Estimator):
+    """``dummy`` of the factory: predicts the majority label (the smallest on a
+    tie) or the mean label of the training rows, whatever the features."""
+
+    def __init__(self, mode: str, labelCol: str = "label", featuresCol: str = "features"):
+        super().__init__()
+        self.mode, self.label_col = mode, labelCol
+
+    def setParams(self, featuresCol: str = "features", labelCol: str = "label"):
+        self.label_col = labelCol
+        return self
+
+    def _fit(self, df: DataFrame) -> "DummyModel":
+        if self.mode == "mean":
+            value = df.agg(F.avg(self.label_col)).first()[0]
+        else:
+            top = df.groupBy(self.label_col).count().orderBy(F.desc("count"), F.asc(self.label_col)).limit(1).collect()
+            value = top[0][0] if top else None
+        return DummyModel(None if value is None else float(value))
+
+
+class DummyModel(Model):
+    def __init__(self, value: float | None):
+        super().__init__()
+        self.value = value
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("prediction", F.lit(self.value).cast("double"))
+
+
 # --- factory ----------------------------------------------------------------------
 
 _CLASSIFIERS = {
@@ -62,6 +92,7 @@ _CLASSIFIERS = {
         classifier=MC.GBTClassifier(**{"seed": RANDOM_STATE, "maxBins": 255, **p})),
     "mlp": lambda p: MC.MultilayerPerceptronClassifier(**{"seed": RANDOM_STATE, **p}),
     "naive_bayes": lambda p: MC.NaiveBayes(**p),
+    "dummy": lambda p: Dummy(mode="majority", **p),
 }
 _REGRESSORS = {
     "linear_regression": lambda p: MR.LinearRegression(**{"regParam": 0.0, "solver": "normal", **p}),
@@ -69,6 +100,7 @@ _REGRESSORS = {
     "random_forest": lambda p: MR.RandomForestRegressor(**{"seed": RANDOM_STATE, **p}),
     "gradient_boosting": lambda p: MR.GBTRegressor(**{"seed": RANDOM_STATE, **p}),
     "hist_gradient_boosting": lambda p: MR.GBTRegressor(**{"seed": RANDOM_STATE, "maxBins": 255, **p}),
+    "dummy": lambda p: Dummy(mode="mean", **p),
 }
 REGISTRY = {"classification": _CLASSIFIERS, "regression": _REGRESSORS}
 
@@ -95,6 +127,19 @@ def create_pipeline(preprocessor, problem_type: str, model_name: str, params: Ma
     return Pipeline(stages=[preprocessor, create(problem_type, model_name, params)])
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    """A fitted pipeline under ``path``, over whatever is there."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    """The fitted pipeline under ``path``; a clear error if there is none."""
+    try:
+        return PipelineModel.load(path)
+    except Exception as e:
+        raise FileNotFoundError(f"no model is stored under {path}") from e
+
+
 # --- text logistic model (TF-IDF + balanced multinomial logistic) ---------------------
 
 def text_features(pattern: str = X.TOKEN_RE_ASCII):
@@ -184,10 +229,13 @@ def fit_text_pooled(train: DataFrame, label: str = "target", max_iter: int = 200
 
 # --- tabular models -------------------------------------------------------------------
 
-def tabular_frame(eda: DataFrame, numeric: list[str], keep: tuple = ("visit_row", "target")) -> DataFrame:
-    """Median-imputed numeric triage features assembled into a vector."""
-    from vitalis.operators.features import impute_median
-    filled = impute_median(eda.select(*keep, *numeric), numeric)
+def tabular_frame(eda: DataFrame, numeric: list[str], keep: tuple = ("visit_row", "target"),
+                  fit_on: DataFrame | None = None) -> DataFrame:
+    """Median-imputed numeric triage features assembled into a vector. The
+    medians are learnt on ``fit_on`` (the training rows; default ``eda``)."""
+    from vitalis.operators.features import impute_median, medians
+    fitted = medians(fit_on if fit_on is not None else eda, numeric)
+    filled = impute_median(eda.select(*keep, *numeric), numeric, fitted)
     return MF.VectorAssembler(inputCols=numeric, outputCol="features").transform(filled)
 
 

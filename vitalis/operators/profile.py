@@ -107,7 +107,8 @@ def describe_lengths(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                          ["count", "mean", "std", "min", "p05", "p50", "p95", "max"], "measure")
 
 
-def split_audit(df: DataFrame, group: str = "text_hash", target: str = "target", split: str = "split") -> DataFrame:
+def split_audit(df: DataFrame, group: str = "text_hash", target: str = "target", split: str = "split",
+                digits: int | None = 6) -> DataFrame:
     """``agg_split_audit``: unique texts, repeated / conflicting / crossing
     groups, and the largest class-share drift of any split from the whole
     table in percentage points. Two grouped passes; the drift is computed on
@@ -125,6 +126,7 @@ def split_audit(df: DataFrame, group: str = "text_hash", target: str = "target",
     w_all = Window.partitionBy(F.lit(0))
     st = st.select(split, target, (F.col("c") / F.sum("c").over(w_split)).alias("sr"),
                    (F.sum("c").over(w_tgt) / F.sum("c").over(w_all)).alias("gr"))
-    drift = st.agg(F.round(F.max(F.abs(F.col("sr") - F.col("gr"))) * 100, 6).alias("max_drift_points"),
+    points = F.max(F.abs(F.col("sr") - F.col("gr"))) * 100  # a gate compares the raw value (digits=None)
+    drift = st.agg((points if digits is None else F.round(points, digits)).alias("max_drift_points"),
                    F.lit(0).alias("_g"))
     return groups.join(drift, "_g").drop("_g")

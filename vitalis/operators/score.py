@@ -20,9 +20,10 @@ def strip_text(c: str | Column) -> Column:
 
 def request_validity(df: DataFrame, text: str = "clinical_text") -> DataFrame:
     """``flt_request_valid`` / ``score_reject_invalid``: stripped length
-    must be 1..5000; adds ``valid`` and a rejection ``reason``."""
+    must be 1..5000; adds ``valid`` and a rejection ``reason``. A missing
+    text is invalid, not unknown."""
     n = F.length(strip_text(text))
-    return df.select("*", n.between(S.REQUEST_MIN_CHARS, S.REQUEST_MAX_CHARS).alias("valid"),
+    return df.select("*", F.coalesce(n.between(S.REQUEST_MIN_CHARS, S.REQUEST_MAX_CHARS), F.lit(False)).alias("valid"),
                      F.when(F.col(text).isNull(), F.lit("missing"))
                       .when(n < S.REQUEST_MIN_CHARS, F.lit("empty"))
                       .when(n > S.REQUEST_MAX_CHARS, F.lit("too_long")).alias("reason"))

@@ -127,10 +127,10 @@ def q_agg_outcomes(spark, sf):
 @register("agg_monotonic_rate", ["eda"], """
 SELECT bool_and(coalesce(admission_rate >= prev, true)) AS non_decreasing FROM (
   SELECT admission_rate, lag(admission_rate) OVER (ORDER BY CASE target WHEN 'normal' THEN 1 WHEN 'atencao' THEN 2 ELSE 3 END) AS prev
-  FROM (SELECT target, round(avg(CASE WHEN ADMITHOS = 1 OR OBSHOS = 1 THEN 1 ELSE 0 END), 6) AS admission_rate
+  FROM (SELECT target, avg(CASE WHEN ADMITHOS = 1 OR OBSHOS = 1 THEN 1 ELSE 0 END) AS admission_rate
         FROM eda GROUP BY target) g) t""")
 def q_agg_monotonic_rate(spark, sf):
-    return E.monotonic_rate(E.outcomes(eda(spark, sf)))
+    return E.monotonic_rate(E.outcomes(eda(spark, sf), digits=None))
 
 
 _MEDIAN_SQL = " UNION ALL ".join(

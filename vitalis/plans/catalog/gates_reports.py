@@ -248,7 +248,7 @@ def q_dq_readiness(spark, sf):
     that do not apply to these fixtures)."""
     t = training_table(spark, sf)
     exp = _expected_frame(spark, sf)
-    audit = P.split_audit(t)
+    audit = P.split_audit(t, digits=None)
     any_null = F.lit(False)
     for c in S.TRAINING_COLUMNS:
         any_null = any_null | F.col(c).isNull()

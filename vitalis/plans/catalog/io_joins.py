@@ -13,18 +13,14 @@ from vitalis.functions import text as X
 from vitalis.operators import clean as C
 from vitalis.operators import eda as E
 from vitalis.plans.catalog.eda import eda
+from vitalis.plans.catalog.learn import global_sql
 from vitalis.plans.registry import register
-from vitalis.session import checkpoint_dir, materialize
+from vitalis.session import materialize, scratch
 from vitalis.sources import files as FS
 from vitalis.sources import fixtures as FX
 from vitalis.sources import tables as TB
 
 
-def _scratch(spark, name):
-    import uuid
-    return f"{checkpoint_dir(spark).rstrip('/')}/vitalis-{name}-{uuid.uuid4().hex}"
-
-
 # --- 2.1 sources and sinks -------------------------------------------------
 
 @register("src_csv_tables", [], """
@@ -32,7 +28,7 @@ SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n JOIN region r ON r.r_regi
 def q_src_csv_tables(spark, sf):
     """Land nation/region as CSV, load both through the CSV loader with
     explicit schemas (no inference pass), join."""
-    base = _scratch(spark, "csv")
+    base = scratch(spark, "csv")
     for t in ("nation", "region"):
         TB.table(spark, sf, t).write.mode("overwrite").option("header", "true").csv(f"{base}/{t}")
     frames = TB.load_csv_tables(
@@ -71,7 +67,7 @@ FROM (SELECT 'P' || CAST(p_partkey % 1000 AS VARCHAR) AS code, min(p_brand) AS d
 def q_src_fixed_width(spark, sf):
     """Build a fixed-width reference file from ``part`` (code in columns
     7-13, text from column 78), then parse it back."""
-    path = _scratch(spark, "fixed-width")
+    path = scratch(spark, "fixed-width")
     lines = TB.table(spark, sf, "part").select(F.format_string(
         "%-6s%-7s%-64s%s", F.lit("REF"), F.concat(F.lit("P"), (F.col("p_partkey") % 1000).cast("string")),
         F.lit(""), F.col("p_brand")).alias("value"))
@@ -87,7 +83,7 @@ def q_src_table_read(spark, sf):
 
 @register("sink_table_write", [], "SELECT * FROM customer")
 def q_sink_table_write(spark, sf):
-    path = _scratch(spark, "customer")
+    path = scratch(spark, "customer")
     TB.save_table(TB.table(spark, sf, "customer"), path, "replace", max_records_per_file=500)
     return spark.read.parquet(path)
 
@@ -97,7 +93,7 @@ SELECT 'row_count' AS "check", true AS passed, CAST(count(*) AS VARCHAR) AS obse
 UNION ALL SELECT 'column_set', true, 'ADMIT,ADMITHOS,AGE,AGEDAYS,DIAG1_code,DIAG1_description,DIEDED,IMMEDR,OBSHOS,RFV1,RFV1_description,RFV2,RFV2_description,RFV3,RFV3_description,RFV4,RFV4_description,RFV5,RFV5_description,SEX,clinical_text,diastolic_bp,heart_rate,oxygen_saturation,pain_scale,respiratory_rate,sex_label,systolic_bp,target,temperature_f,visit_row'""")
 def q_sink_readback_check(spark, sf):
     e = C.eda_table(FX.visits(spark, sf), FX.rfv_codebook(spark, sf), FX.sex_codebook(spark), FX.diag_ref(spark, sf))
-    path = _scratch(spark, "eda")
+    path = scratch(spark, "eda")
     TB.save_table(e, path)
     expected = e.count()
     return TB.readback_check(spark, path, expected, e.columns)
@@ -110,7 +106,7 @@ SELECT visit_row, IMMEDR, target, AGE, AGEDAYS, SEX, sex_label, RFV1, RFV2, RFV3
   oxygen_saturation, pain_scale, ADMITHOS, OBSHOS, ADMIT, DIEDED, clinical_text FROM eda_text""")
 def q_sink_eda_artifact(spark, sf):
     e = C.eda_table(FX.visits(spark, sf), FX.rfv_codebook(spark, sf), FX.sex_codebook(spark), FX.diag_ref(spark, sf))
-    path = _scratch(spark, "eda-artifact")
+    path = scratch(spark, "eda-artifact")
     TB.save_table(e, path)
     return spark.read.parquet(path)
 
@@ -140,23 +136,26 @@ def q_sink_metadata(spark, sf):
     return metadata_table(training_table(spark, sf))
 
 
-@register("sink_json_report")
+@register("sink_json_report", ["scored"], f"SELECT *, '{S.DATASET_VERSION}' AS dataset_version FROM ({global_sql('scored')}) m")
 def q_sink_json_report(spark, sf):
-    """Nested one-row run report to JSON and back with an explicit schema."""
+    """Nested one-row run report to JSON and back with an explicit schema;
+    the report's fields as columns."""
     from vitalis.operators.evaluate import global_metrics
     m = global_metrics(FX.scored(spark, sf), "y_true", "y_pred")
     report = m.select(F.struct(*[F.col(c) for c in m.columns]).alias("metrics"),
                       F.lit(S.DATASET_VERSION).alias("dataset_version"))
-    path = _scratch(spark, "report")
+    path = scratch(spark, "report")
     report.coalesce(1).write.mode("overwrite").json(path)
-    return spark.read.schema(report.schema).json(path)
+    return spark.read.schema(report.schema).json(path).select("metrics.*", "dataset_version")
 
 
 @register("src_file_checksum")
 def q_src_file_checksum(spark, sf):
-    """SHA-256 per landed file (``binaryFile`` scan), compared with a
-    manifest computed the same way on a second read."""
-    return FS.file_checksums(spark, sf, "*.parquet")
+    """SHA-256 per landed file (``binaryFile`` scan), against a manifest that
+    was written from an earlier read of the same folder."""
+    path = scratch(spark, "manifest")
+    FS.file_checksums(spark, sf, "*.parquet").select("file", "sha256").write.parquet(path)
+    return FS.verify_checksums(FS.file_checksums(spark, sf, "*.parquet"), spark.read.parquet(path))
 
 
 @register("fn_text_sha256", [], "SELECT doc_id, sha256(text) AS sha256 FROM documents")

@@ -118,8 +118,9 @@ def q_feat_impute_mode(spark, sf):
     return FE.impute_mode(e, "DIAG1_description")
 
 
-@register("feat_onehot", [], """
-PIVOT (SELECT c_custkey, 'cat__c_mktsegment_' || c_mktsegment AS f FROM customer) ON f USING count(*) GROUP BY c_custkey""")
+@register("feat_onehot", [], "SELECT c_custkey, " + ", ".join(
+    f"CAST(c_mktsegment = '{c}' AS INT) AS cat__c_mktsegment_{c}"
+    for c in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")) + " FROM customer")
 def q_feat_onehot(spark, sf):
     c = table(spark, sf, "customer")
     return FE.onehot(c, "c_mktsegment", FE.categories(c, "c_mktsegment"), keep=["c_custkey"])
@@ -150,10 +151,11 @@ def q_feat_fit_prepare(spark, sf):
     return out.withColumn("num__c_acctbal", F.round("num__c_acctbal", 6))
 
 
-@register("udf_transformer")
+@register("udf_transformer", [], "SELECT doc_id, " + ", ".join(
+    f"CAST(coalesce(lang, '') = '{c}' AS INT) AS cat__lang_{c}" for c in ("de", "es", "fr")) + " FROM documents")
 def q_udf_transformer(spark, sf):
-    """Custom fit/transform stage storing categories: fitted on the German
-    documents, applied to all (unknown languages -> all zeros)."""
+    """Custom fit/transform stage storing categories: fitted on the documents
+    that aren't English, applied to all (an unknown language -> all zeros)."""
     d = table(spark, sf, "documents").select("doc_id", "lang", "source")
     prep = FE.TabularPreprocessor(categorical=["lang"], keys=["doc_id"]).fit(d.where(F.col("lang") != "en"))
     return prep.transform(d)
@@ -175,7 +177,7 @@ def q_feat_label_index(spark, sf):
 
 # --- 2.11 evaluation ------------------------------------------------------------------
 
-def _global_sql(view: str) -> str:
+def global_sql(view: str) -> str:
     return f"""
 WITH cm AS (SELECT y_true AS y, y_pred AS p, count(*) AS n FROM {view} GROUP BY 1, 2),
 t AS (SELECT y AS label, sum(n) AS support, sum(CASE WHEN y = p THEN n ELSE 0 END) AS tp FROM cm GROUP BY y),
@@ -198,12 +200,12 @@ SELECT round(accuracy, 6) AS accuracy,
 FROM a LEFT JOIN c ON c.label = a.pos"""
 
 
-@register("eval_global", ["scored"], _global_sql("scored"))
+@register("eval_global", ["scored"], global_sql("scored"))
 def q_eval_global(spark, sf):
     return EV.global_metrics(FX.scored(spark, sf))
 
 
-@register("eval_global_multiclass", ["scored_mc"], _global_sql("scored_mc"))
+@register("eval_global_multiclass", ["scored_mc"], global_sql("scored_mc"))
 def q_eval_global_multiclass(spark, sf):
     return EV.global_metrics(FX.scored_mc(spark, sf))
 
