@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,13 +21,14 @@ from pyspark.sql import functions as F
 
 from vitalis.llm.common import id_text, named, slices, write_table
 
-#: Hashed terms of the index, so that corpus statistics stay bounded.
+#: The index's terms are token ids (modulo TERMS, for a larger vocabulary), so
+#: corpus statistics stay bounded.
 TERM_BITS = 18
 TERMS = 1 << TERM_BITS
 MAX_TF = (1 << (32 - TERM_BITS)) - 1
 #: Characters whose classes the two tokenizer libraries are known to agree on.
 PLAIN = re.compile("[\t\n\r -~¡-¬®-ſ]*\\Z")
-TABLE_SCHEMA = "doc_id long, n_tokens long, full array<long>, tail binary, terms binary, n_words long, sketch long"
+TABLE_SCHEMA = "doc_id long, n_tokens long, full array<long>, tail binary, terms binary, sketch long"
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                 "sequence_id long, offset long")
 
@@ -88,7 +88,7 @@ class Encoder:
 
     def ids(self, text: str) -> np.ndarray:
         if self.fast is not None and PLAIN.match(text) and not any(s in text for s in self.special):
-            return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), self.kind)
+            return np.array(self.fast.encode_ordinary(text), self.kind)
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, self.kind)
 
 
@@ -97,30 +97,39 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def term_counts(ids: np.ndarray) -> np.ndarray:
+    """A document's terms with their numbers, packed into 32 bits."""
+    term, tf = np.unique(ids.astype(np.uint32) & np.uint32(TERMS - 1), return_counts=True)
+    return (term | (np.minimum(tf, MAX_TF).astype(np.uint32) << np.uint32(TERM_BITS))).astype("<u4")
+
+
+def sketch(ids: np.ndarray) -> int:
+    """The least hash of a document's pairs of neighbouring tokens."""
+    if len(ids) < 2:
+        return 0
+    pair = ((ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:]) * np.uint64(0x9E3779B97F4A7C15)
+    pair = (pair ^ (pair >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return int(pair.min() >> np.uint64(1))
+
+
 def _tokenise(path: str, window: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder.load(path)
         for part in slices(batches):
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(5)]
             for text in named(part, "text").to_pylist():
-                ids = np.append(enc.ids(text), enc.kind(0))
+                own = enc.ids(text)
+                ids = np.append(own, enc.kind(0))
                 whole = len(ids) // window
-                words = text.lower().encode("utf-8", "surrogatepass").split()
-                tf = Counter(words)
-                hashes = np.fromiter((zlib.crc32(w) for w in tf), np.uint32, len(tf))
-                number = np.minimum(np.fromiter(tf.values(), np.uint32, len(tf)), MAX_TF).astype(np.uint32)
-                terms = (hashes & np.uint32(TERMS - 1)) | (number << np.uint32(TERM_BITS))
-                mixed = hashes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 out[0].append(len(ids))
                 out[1].append([crc(ids[k * window:(k + 1) * window]) for k in range(whole)])
                 out[2].append(ids[whole * window:].tobytes())
-                out[3].append(terms.astype("<u4").tobytes())
-                out[4].append(len(words))
-                out[5].append(int((mixed ^ (mixed >> np.uint64(33))).min() >> np.uint64(1)) if len(tf) else 0)
+                out[3].append(term_counts(own).tobytes())
+                out[4].append(sketch(own))
             yield pa.RecordBatch.from_arrays(
                 [named(part, "doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.binary()),
-                 pa.array(out[3], pa.binary()), pa.array(out[4], pa.int64()), pa.array(out[5], pa.int64())],
-                ["doc_id", "n_tokens", "full", "tail", "terms", "n_words", "sketch"])
+                 pa.array(out[3], pa.binary()), pa.array(out[4], pa.int64())],
+                ["doc_id", "n_tokens", "full", "tail", "terms", "sketch"])
     return run
 
 
@@ -138,7 +147,7 @@ class Shard:
 
     Terms in more than ``stop_share`` of all documents are left out of it."""
 
-    def __init__(self, terms: list[bytes], n_words: np.ndarray, idf: np.ndarray, mean_words: float,
+    def __init__(self, terms: list[bytes], sizes_of: np.ndarray, idf: np.ndarray, mean_size: float,
                  k1: float = 1.2, b: float = 0.75):
         raw = [np.frombuffer(t, "<u4") for t in terms]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -147,7 +156,7 @@ class Shard:
         term, tf = (flat & np.uint32(TERMS - 1)).astype(np.int64), (flat >> np.uint32(TERM_BITS)).astype(np.float64)
         use = idf[term] > 0
         doc, term, tf = doc[use], term[use], tf[use]
-        norm = k1 * (1 - b + b * n_words / max(mean_words, 1e-9))
+        norm = k1 * (1 - b + b * sizes_of / max(mean_size, 1e-9))
         weight = idf[term] * tf * (k1 + 1) / (tf + norm[doc])
         _, local = np.unique(term, return_inverse=True)
         # Only terms of two documents of the shard can lead to a neighbour.
@@ -158,19 +167,20 @@ class Shard:
         self.posting_doc, self.posting_weight = doc[order], weight[order]
         n_terms = int(local.max()) + 1 if len(local) else 0
         self.first = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=n_terms))]).astype(np.int64)
-        self.doc_terms = local[np.argsort(doc, kind="stable")]
+        # Each document's terms, the weightiest first.
+        self.doc_terms = local[np.lexsort((-weight, doc))]
         self.doc_first = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(raw)))]).astype(np.int64)
         self.n = len(raw)
 
-    def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document of the shard for the seed's terms."""
-        own = self.doc_terms[self.doc_first[seed]:self.doc_first[seed + 1]]
+    def scores(self, seed: int, query_terms: int) -> np.ndarray:
+        """BM25 of every document of the shard for the seed's weightiest terms."""
+        own = self.doc_terms[self.doc_first[seed]:self.doc_first[seed + 1]][:query_terms]
         size = self.first[own + 1] - self.first[own]
         at = np.repeat(self.first[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         return np.bincount(self.posting_doc[at], weights=self.posting_weight[at], minlength=self.n)
 
 
-def fill(left: np.ndarray, index: Shard, window: int) -> Iterator[list[tuple[int, int]]]:
+def fill(left: np.ndarray, index: Shard, window: int, query_terms: int = 64) -> Iterator[list[tuple[int, int]]]:
     """Windows as lists of (document, tokens taken); ``left`` holds the tokens
     that each document has yet to place. The seed is the unused document with
     the most tokens; neighbours follow by score, then by order."""
@@ -185,7 +195,7 @@ def fill(left: np.ndarray, index: Shard, window: int) -> Iterator[list[tuple[int
         room = window - row[0][1]
         left[seed] -= row[0][1]
         if room:
-            score = np.where(left > 0, index.scores(int(seed)), -1.0)
+            score = np.where(left > 0, index.scores(int(seed), query_terms), -1.0)
             while room:
                 best = int(score.argmax())
                 if score[best] < 0:
@@ -198,7 +208,7 @@ def fill(left: np.ndarray, index: Shard, window: int) -> Iterator[list[tuple[int
         yield row
 
 
-def _pack(path: str, window: int, shard_docs: int, idf, mean_words: float):
+def _pack(path: str, window: int, shard_docs: int, idf, mean_size: float, query_terms: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, part, number = Encoder.load(path).kind, TaskContext.get().partitionId(), 0
         weights = idf.value
@@ -216,9 +226,9 @@ def _pack(path: str, window: int, shard_docs: int, idf, mean_words: float):
                 for k, check in enumerate(r["full"]):
                     piece(r, k * window, window, check, (part << 40) | number, 0)
                     number += 1
-            index = Shard([r["terms"] for r in rows], np.array([r["n_words"] for r in rows], float), weights, mean_words)
+            index = Shard([r["terms"] for r in rows], np.array([r["n_tokens"] for r in rows], float), weights, mean_size)
             used = np.zeros(len(rows), np.int64)
-            for row in fill(np.array([len(t) for t in tails], np.int64), index, window):
+            for row in fill(np.array([len(t) for t in tails], np.int64), index, window, query_terms):
                 offset = 0
                 for d, take in row:
                     ids = tails[d][used[d]:used[d] + take]
@@ -243,7 +253,7 @@ def _pack(path: str, window: int, shard_docs: int, idf, mean_words: float):
 
 def retrieval_pack(docs: DataFrame, tokenizer: str | None = None, window: int = 1024, id_col: str = "doc_id",
                    text_col: str = "text", shard_docs: int = 2048, shards_per_task: int = 4,
-                   stop_share: float = 0.125) -> DataFrame:
+                   stop_share: float = 0.125, query_terms: int = 64) -> DataFrame:
     """Pack all documents into sequences of at most ``window`` tokens.
 
     A document is its ids by ``tokenizer`` (a path), then id 0. Returns one row
@@ -251,8 +261,10 @@ def retrieval_pack(docs: DataFrame, tokenizer: str | None = None, window: int =
     offset``. Each id lies in exactly one piece; only the last sequence of a
     shard can be short.
 
-    Document frequencies and the mean length for BM25 come from all documents.
-    Documents with a common least word hash (near copies above all) are
+    The terms of BM25 are a document's token ids; document frequencies and the
+    mean length come from all documents, and terms in more than ``stop_share``
+    of them aren't indexed. A seed asks for its ``query_terms`` weightiest terms.
+    Documents with a common least hash of token pairs (near copies above all) are
     neighbours in the order that shards of ``shard_docs`` are cut from, so a
     seed finds them; equal ones are spread by id and never gather in one task.
 
@@ -263,7 +275,7 @@ def retrieval_pack(docs: DataFrame, tokenizer: str | None = None, window: int =
     path = tokenizer or default_tokenizer()
     rows = id_text(docs, id_col, text_col)
     table = write_table(rows.mapInArrow(_tokenise(path, window), TABLE_SCHEMA), "packing")
-    n, words = table.agg(F.count("*"), F.sum("n_words")).first()
+    n, tokens = table.agg(F.count("*"), F.sum("n_tokens")).first()
     if not n:
         return docs.sparkSession.createDataFrame([], PIECE_SCHEMA)
     df = np.zeros(TERMS)
@@ -275,4 +287,4 @@ def retrieval_pack(docs: DataFrame, tokenizer: str | None = None, window: int =
     tasks = max(1, -(-n // (shard_docs * shards_per_task)))
     order = ["sketch", "doc_id", "n_tokens", "tail"]
     return (table.repartitionByRange(tasks, "sketch", "doc_id", "n_tokens").sortWithinPartitions(*order)
-            .mapInArrow(_pack(path, window, shard_docs, shared, (words or 0) / n), PIECE_SCHEMA))
+            .mapInArrow(_pack(path, window, shard_docs, shared, tokens / n, query_terms), PIECE_SCHEMA))
