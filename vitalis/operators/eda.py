@@ -123,12 +123,14 @@ def box_stats(eda: DataFrame, fields: Sequence[str] = ("heart_rate", "respirator
 def ambiguity(df: DataFrame, reps: dict[str, Column], target: str = "target") -> DataFrame:
     """``agg_ambiguity``: per representation, unique / repeated / conflicting
     values (NULL key kept as a group). Each representation is a grouped
-    pass; results are stacked with ``unionByName``."""
+    pass over SHA-256 digests, so no text is shuffled; results are stacked
+    with ``unionByName``."""
     out = None
-    for name, expr in reps.items():
+    keyed = df.select(target, *[F.unhex(F.sha2(expr.cast("string"), 256)).alias(f"_k{i}") for i, expr in enumerate(reps.values())])
+    for i, name in enumerate(reps):
         # "More than one class" is max <> min (both skip NULL, like a
         # distinct count): one hash aggregate with map-side partial results.
-        g = df.groupBy(expr.alias("_k")).agg(
+        g = keyed.groupBy(f"_k{i}").agg(
             F.count(F.lit(1)).alias("rows"), (F.max(target) != F.min(target)).alias("conflict"))
         r = g.agg(F.count(F.lit(1)).alias("unique_values"),
                   F.count_if(F.col("rows") > 1).alias("repeated_values"),

@@ -33,8 +33,8 @@ def doc_terms(docs: DataFrame, doc: str, text: str, pattern: str = X.TOKEN_RE_AS
     # (vocabulary fit and transform) plan-identical, so the tokenise +
     # shuffle runs once; otherwise the join infers the filter on one
     # branch only and the text is tokenised twice.
-    return (toks.select("doc", F.explode(terms).alias("term")).where(F.col("term").isNotNull())
-                .repartition("doc")
+    # Documents move with their tokens, before these are repeated in bigrams.
+    return (toks.repartition("doc").select("doc", F.explode(terms).alias("term")).where(F.col("term").isNotNull())
                 .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -190,7 +190,9 @@ class TabularPreprocessor:
     then one-hot encoded over the learnt (sorted) categories. Output order:
     binary, numeric, categorical; other columns dropped (keys kept)."""
 
-    def __init__(self, binary=(), numeric=(), categorical=(), keys=(), feature_range=(0.0, 1.0)):
+    def __init__(self, binary=(), numeric=(), categorical=(), keys=(), feature_range=(0.0, 1.0),
+                 max_categories=MAX_CATEGORIES):
+        self.max_categories = max_categories
         self.binary, self.numeric, self.categorical = list(binary), list(numeric), list(categorical)
         self.keys, self.feature_range = list(keys), feature_range
         self.fitted_ = False
@@ -200,7 +202,7 @@ class TabularPreprocessor:
         imputed = impute_median(df, self.numeric, self.medians_) if self.numeric else df
         self.ranges_ = minmax_fit(imputed, self.numeric) if self.numeric else None
         self.modes_ = {c: mode_value(df, c) for c in self.categorical}
-        self.categories_ = {c: categories(df, c) for c in self.categorical}
+        self.categories_ = {c: categories(df, c, self.max_categories) for c in self.categorical}
         self.fitted_ = True
         return self
 

@@ -25,9 +25,6 @@ from vitalis.functions import text as X
 
 RANDOM_STATE = 42
 
-# Seconds of the last optimiser run of ``fit_text_logistic`` (bench metric).
-LAST_FIT_SECONDS: dict[str, float] = {}
-
 
 def majority_rule_predictions(df: DataFrame, label: str, target: str) -> DataFrame:
     """Majority class per ``label`` value (smallest class on ties); rows
@@ -144,14 +141,14 @@ def load_model(path: str) -> PipelineModel:
 
 def text_features(pattern: str = X.TOKEN_RE_ASCII):
     """Tokens (lower-cased regex matches, no word boundaries, as the
-    vectoriser contract) followed by their space-joined bigrams, as one
-    built-in SQL expression stage: it stays in whole-stage codegen, where
+    vectoriser contract), then with their space-joined bigrams, as two
+    stages of built-in SQL expressions: they stay in whole-stage codegen, where
     the tokenizer and n-gram transformers are per-row Scala UDFs."""
     tokens = f"regexp_extract_all(lower(clinical_text), '{pattern}', 1)"
-    return [MF.SQLTransformer(statement=(
-        "SELECT *, concat(_tk, zip_with(slice(_tk, 1, greatest(size(_tk) - 1, 0)), "
-        "slice(_tk, 2, greatest(size(_tk) - 1, 0)), (a, b) -> concat_ws(' ', a, b))) AS _terms "
-        f"FROM (SELECT *, {tokens} AS _tk FROM __THIS__)"))]
+    return [MF.SQLTransformer(statement=f"SELECT *, {tokens} AS _tk FROM __THIS__"),
+            MF.SQLTransformer(statement=(
+                "SELECT *, concat(_tk, zip_with(slice(_tk, 1, greatest(size(_tk) - 1, 0)), "
+                "slice(_tk, 2, greatest(size(_tk) - 1, 0)), (a, b) -> concat_ws(' ', a, b))) AS _terms FROM __THIS__"))]
 
 
 def capped_vocabulary(df: DataFrame, terms: str, min_df: int, cap: int) -> list:
@@ -175,41 +172,41 @@ def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1
     summed-loss L2 strength of C=1 (``regParam = 1 / n`` on a loss that
     Spark averages over the balanced weights, which sum to ``n``).
 
-    Passes over the text: one for term statistics (document and corpus
-    frequency per term in one aggregate), one to write the term counts with
-    label and weight to the checkpoint folder for the optimiser. The
-    vocabulary is the ``vocab`` most frequent terms with ``df >= min_df``,
+    The text is tokenised once: its tokens are written with label and weight,
+    and read for the term statistics (document and corpus frequency per term
+    in one aggregate) and for the optimiser. The vocabulary is the ``vocab`` most frequent terms with ``df >= min_df``,
     ties by term (deterministic at the cap); only that capped list and its
     document frequencies reach the driver."""
-    from vitalis.session import materialize
-
-    idx = MF.StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc").fit(train)
-    (terms_stage,) = text_features()
-    labelled = idx.transform(train)
-    counts = labelled.groupBy("label_id").count()
-    w = Window.partitionBy(F.lit(0))
-    wt = counts.select("label_id", (F.sum("count").over(w) / (F.count(F.lit(1)).over(w) * F.col("count"))).alias("weight"))
-    n = int(counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
-    top = capped_vocabulary(terms_stage.transform(train), "_terms", min_df, vocab)
+    from vitalis.session import discard, scratch
+
+    # One row per class: labels, weights and the number of rows in one small pass.
+    counts = sorted((r[0], r[1]) for r in train.where(F.col(label).isNotNull()).groupBy(label).count().collect())
+    n = sum(c for _, c in counts)
+    idx = MF.StringIndexerModel.from_labels([c for c, _ in counts], inputCol=label, outputCol="label_id")
+    weight = F.create_map(*[x for k, (_, c) in enumerate(counts) for x in (F.lit(float(k)), F.lit(n / (len(counts) * c)))])
+    # Tokens are written once; the vocabulary and the fit both read them.
+    spark, path = train.sparkSession, scratch(train.sparkSession, "lr-tokens")
+    tokens_stage, terms_stage = text_features()
+    (tokens_stage.transform(idx.transform(train.select("clinical_text", label))).select("_tk", "label_id")
+     .withColumn("weight", weight[F.col("label_id")]).write.parquet(path))
+    tokens = spark.read.parquet(path)
+    top = capped_vocabulary(terms_stage.transform(tokens), "_terms", min_df, vocab)
     cv = MF.CountVectorizerModel.from_vocabulary([r["term"] for r in top], inputCol="_terms", outputCol="_tf")
     # Smooth IDF plus one: ln((1 + n) / (1 + df)) + 1.
     idf = [math.log((1 + n) / (1 + r["df"])) + 1.0 for r in top]
     scale = MF.ElementwiseProduct(scalingVec=DenseVector(idf), inputCol="_tf", outputCol="_w")
     norm = MF.Normalizer(p=2.0, inputCol="_w", outputCol="features")
-    tf = materialize(cv.transform(terms_stage.transform(labelled.join(F.broadcast(wt), "label_id")))
-                     .select("_tf", "label_id", "weight"), "lr-train")
-    data = norm.transform(scale.transform(tf)).select("features", "label_id", "weight")
+    # The optimiser keeps its blocks; a lost one is computed again from the tokens.
+    data = norm.transform(scale.transform(cv.transform(terms_stage.transform(tokens)))).select("features", "label_id", "weight")
     # tol = 1e-4: the stopping tolerance of the reference solver (library
     # default); Spark's own default (1e-6) iterates far past it.
     lr = MC.LogisticRegression(featuresCol="features", labelCol="label_id", weightCol="weight", maxIter=max_iter,
                                regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
                                family="multinomial", tol=1e-4)
-    t0 = time.perf_counter()
     model = lr.fit(data)
-    LAST_FIT_SECONDS["text_logistic"] = time.perf_counter() - t0
-    LAST_FIT_SECONDS["train_rows"] = float(n)
+    discard(spark, path)
     back = MF.IndexToString(inputCol="prediction", outputCol="predicted_target", labels=idx.labels)
-    return PipelineModel(stages=[idx, terms_stage, cv, scale, norm, model, back])
+    return PipelineModel(stages=[idx, tokens_stage, terms_stage, cv, scale, norm, model, back])
 
 
 def fit_text_pooled(train: DataFrame, label: str = "target", max_iter: int = 200) -> PipelineModel:

@@ -29,14 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the session has task
-    slots (a small table landed as one file or row group: one task would
+    """Spread a scan that yields at most half as many partitions as the session
+    has task slots (a small table landed as one file or row group: one task would
     run all the per-row work) over every slot by a hash of its key. A large
     input already has more partitions than slots and passes through with
     no shuffle. Hashing an expression of the key (not the key itself)
     keeps later ``groupBy``/window exchanges, and their reuse, unchanged."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if slots <= 1 or df.rdd.getNumPartitions() >= slots:
+    # Half of the slots busy is no reason to shuffle the texts.
+    if slots <= 1 or 2 * df.rdd.getNumPartitions() > slots:
         return df
     return df.repartition(slots, F.xxhash64(key))
 
