@@ -180,6 +180,23 @@ def test_medians_are_learnt_on_the_training_rows(spark):
     assert seen[0] == seen[1] == {1: 10.0, 2: 15.0, 3: 20.0, 5: 15.0}
 
 
+@pytest.mark.parametrize("ranges", [2, 7, 256])
+def test_exact_quantiles(spark, ranges):
+    import random
+
+    import numpy as np
+
+    from vitalis.operators.quantiles import exact_quantiles
+    rng = random.Random(ranges)
+    data = [(g, v) for g, n, f in ((1, 501, rng.random), (2, 400, lambda: float(rng.randrange(5))), (3, 1, rng.random), (None, 30, rng.random))
+            for v in [f() for _ in range(n)]] + [(1, None), (4, None)]
+    got = {r["g"]: r for r in exact_quantiles(spark.createDataFrame(data, "g int, v double").where("g is not null"), ["g"], "v", [0, 0.25, 0.5, 0.95, 1], ranges).collect()}
+    assert set(got) == {1, 2, 3}
+    for g, r in got.items():
+        values = [v for k, v in data if k == g and v is not None]
+        assert r["n"] == len(values) and [r[f"q{k}"] for k in range(5)] == pytest.approx(np.quantile(values, [0, 0.25, 0.5, 0.95, 1]))
+
+
 def test_dummies(spark):
     from pyspark.ml.feature import VectorAssembler
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from vitalis.functions import nulls as N
 from vitalis.functions import text as X
+from vitalis.operators.quantiles import exact_quantiles
 from vitalis.operators.score import strip_text
 
 PAD_TOKEN = "<PAD>"
@@ -105,8 +106,11 @@ def reject_texts(docs: DataFrame, text: str) -> DataFrame:
 
 
 def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One-row exact medians (linear interpolation) of ``cols``."""
-    return df.agg(*[F.median(c).alias(c) for c in cols])
+    """One-row exact medians (linear interpolation) of ``cols``, each found in
+    ranges of its values, so a column of distinct numbers isn't one task."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
+    found = exact_quantiles(long.select("s.c", "s.v"), ["c"], "v", [0.5])
+    return found.agg(*[F.max(F.when(F.col("c") == c, F.col("q0"))).alias(c) for c in cols])
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], fitted: DataFrame | None = None) -> DataFrame:
@@ -173,8 +177,9 @@ def onehot(df: DataFrame, col: str, cats: Sequence[str], prefix: str = "cat__",
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """``feat_class_weight``: balanced weight ``n / (k * n_c)``."""
     g = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    w = Window.partitionBy(F.lit(0))
-    return g.select(label, "n_c", (F.sum("n_c").over(w) / (F.count(F.lit(1)).over(w) * F.col("n_c"))).alias("weight"))
+    total = g.agg(F.sum("n_c").alias("_n"), F.count(F.lit(1)).alias("_k"), F.lit(0).alias("_g"))  # one row
+    return (g.withColumn("_g", F.lit(0)).join(F.broadcast(total), "_g")
+            .select(label, "n_c", (F.col("_n") / (F.col("_k") * F.col("n_c"))).alias("weight")))
 
 
 def label_index(df: DataFrame, label: str) -> DataFrame:

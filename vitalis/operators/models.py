@@ -42,10 +42,10 @@ def dummy_classifier(train: DataFrame, label: str) -> DataFrame:
     """``ml_dummy_class``: prior model -- majority class (smallest on tie)
     and class shares; returns (class, share, is_majority)."""
     g = train.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(F.lit(0))
-    r = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), F.asc(label))
-    return g.select(label, (F.col("n") / F.sum("n").over(w)).alias("share"),
-                    (F.row_number().over(r) == 1).alias("is_majority"))
+    # One row: the total, and the first label in the order (most rows, smallest).
+    one = g.agg(F.sum("n").alias("_n"), F.min(F.struct((-F.col("n")).alias("n"), F.col(label).alias("l"))).alias("_top"), F.lit(0).alias("_g"))
+    return (g.withColumn("_g", F.lit(0)).join(F.broadcast(one), "_g")
+            .select(label, (F.col("n") / F.col("_n")).alias("share"), F.col(label).eqNullSafe(F.col("_top.l")).alias("is_majority")))
 
 
 class Dummy(Estimator):

@@ -19,10 +19,11 @@ from vitalis.operators.clean import target_ordinal
 def class_distribution(df: DataFrame, target: str = "target",
                        order: Sequence[str] | None = S.TARGET_ORDER) -> DataFrame:
     """``agg_class_distribution`` / ``agg_table_distribution``: rows and
-    rate per class. The total comes from a window over the grouped result
-    (one row per class), not over the data."""
+    rate per class. The total is one row, from the grouped result."""
     g = df.groupBy(target).agg(F.count(F.lit(1)).alias("rows"))
-    out = g.select(target, "rows", (F.col("rows") / F.sum("rows").over(Window.partitionBy())).alias("rate"))
+    total = g.agg(F.sum("rows").alias("_n"), F.lit(0).alias("_g"))  # one row
+    out = (g.withColumn("_g", F.lit(0)).join(F.broadcast(total), "_g")
+           .select(target, "rows", (F.col("rows") / F.col("_n")).alias("rate")))
     if order is not None:
         out = out.withColumn("class_order", target_ordinal(target))
     return out
