@@ -199,10 +199,12 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     """
     spans, slots = mix(docs, **options)
     spans = write_table(spans, "mix-spans")
-    uses = slots.groupBy("sid", "idx").agg(F.count("*").alias("uses"))
+    # Spark takes the slots for as few as the shards they come from, and would
+    # broadcast what grows with the corpus.
+    uses = slots.groupBy("sid", "idx").agg(F.count("*").alias("uses")).hint("merge")
     taken = (pieces(spans).join(uses, ["sid", "idx"]).groupBy("row")
              .agg(F.sum(F.col("words") * F.col("uses")).alias("taken")))
-    return (spans.join(taken, "row", "left")
+    return (spans.join(taken.hint("merge"), "row", "left")
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
 
 
@@ -233,9 +235,9 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty texts, so they give no row."""
     numbered = write_table(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
     spans, slots = mix(numbered, id_col, text_col, row_col="__row", **options)
-    parts = (pieces(spans).join(slots, ["sid", "idx"]).groupBy(F.col("row").alias("__of"), F.col("epoch").alias("__pass"))
+    parts = (pieces(spans).join(slots.hint("merge"), ["sid", "idx"]).groupBy(F.col("row").alias("__of"), F.col("epoch").alias("__pass"))
              .agg(F.collect_list(F.struct("first", "words")).alias("__ranges")))
-    picked = write_table(numbered.join(parts, numbered["__row"] == parts["__of"])
+    picked = write_table(numbered.join(parts.hint("merge"), numbered["__row"] == parts["__of"])
                          .withColumn("__row", F.monotonically_increasing_id()), "mix-picked")
     cut = picked.select(F.col("__row").alias("row"), F.col(text_col).alias("text"), F.col("__ranges").alias("ranges")).mapInArrow(_cut, "__cut long, __mixed string")
     return (picked.join(cut, picked["__row"] == cut["__cut"]).withColumn(text_col, F.col("__mixed")).select(*docs.columns))
