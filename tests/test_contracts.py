@@ -273,3 +273,15 @@ def test_checksums_notice_a_change(spark, tmp_path):
     shutil.copy(base / "b.parquet", base / "t.parquet" / "a.parquet")
     got = {r["file"]: r["valid"] for r in FS.verify_checksums(FS.file_checksums(spark, str(base), "*.parquet"), manifest).collect()}
     assert got == {"t.parquet/a.parquet": False, "b.parquet": True}
+
+
+def test_the_package_travels_as_a_zip(tmp_path):
+    import io
+    import os
+    import zipfile
+
+    from vitalis import ship
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    names = zipfile.ZipFile(io.BytesIO(ship.archive(root))).namelist()
+    assert {"vitalis/__init__.py", "vitalis/ship.py", "vitalis/streaming/alerts.py"} <= set(names)
+    assert all(n.startswith("vitalis/") and n.endswith(".py") for n in names)
