@@ -38,6 +38,13 @@ def eligible(df: DataFrame, code: str = "IMMEDR") -> DataFrame:
     return df.where(F.col(code).isin(list(S.TARGET_MAP)))
 
 
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """``df``, or an error if it is empty (one row is looked for)."""
+    if df.limit(1).count() == 0:
+        raise ValueError(f"no {what}")
+    return df
+
+
 def target_ordinal(c: str | Column = "target") -> Column:
     """``prj_category_order``: ordinal of the ordered class (1-based)."""
     col = F.col(c) if isinstance(c, str) else c

@@ -107,9 +107,19 @@ def expected_counts(df: DataFrame, rows: int | None = None, classes: Mapping[str
                     (F.col("expected").isNull() | F.col("observed").eqNullSafe(F.col("expected"))).alias("passed"))
 
 
-def metadata_table(df: DataFrame, version: str = S.DATASET_VERSION, seed: int = S.SPLIT_SEED) -> DataFrame:
+def content_checksum(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """One row ``value``: the sum over all rows of 28 bits of the MD5 of the
+    columns, so it depends on the content but not on order or files."""
+    row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    bits = F.conv(F.substring(F.md5(row), 1, 7), 16, 10).cast("long")
+    return df.agg(F.coalesce(F.sum(bits), F.lit(0)).cast("string").alias("value"))
+
+
+def metadata_table(df: DataFrame, version: str = S.DATASET_VERSION, seed: int = S.SPLIT_SEED,
+                   checksum: DataFrame | None = None) -> DataFrame:
     """``sink_metadata``: provenance key/value rows; class and split counts
-    as key-sorted JSON built from the tiny grouped results."""
+    as key-sorted JSON built from the tiny grouped results; ``checksum`` is
+    the source's :func:`content_checksum`."""
     # One pass: the (class, split) cell counts feed the row count and both
     # count maps (the three consumers reuse its exchange).
     cells = df.groupBy("target", "split").agg(F.count(F.lit(1)).alias("count"))
@@ -128,7 +138,8 @@ def metadata_table(df: DataFrame, version: str = S.DATASET_VERSION, seed: int =
         F.lit("row_count").alias("key"), "value")
     cc = counts_json("target").select(F.lit("class_counts").alias("key"), "value")
     sc = counts_json("split").select(F.lit("split_counts").alias("key"), "value")
-    return fixed.unionByName(rc).unionByName(cc).unionByName(sc)
+    out = fixed.unionByName(rc).unionByName(cc).unionByName(sc)
+    return out if checksum is None else out.unionByName(checksum.select(F.lit("source_checksum").alias("key"), "value"))
 
 
 def allowed_features(df: DataFrame, allowed: Iterable[str], blocked: Iterable[str]) -> DataFrame:

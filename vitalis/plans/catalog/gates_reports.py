@@ -12,6 +12,8 @@ from vitalis.operators import gates as G
 from vitalis.operators import profile as P
 from vitalis.plans.registry import register
 from vitalis.plans.training_table import training_table
+from vitalis.session import scratch
+from vitalis.sources import files as FS
 from vitalis.sources import fixtures as FX
 from vitalis.sources.tables import table
 
@@ -57,9 +59,11 @@ WITH e AS (SELECT CASE WHEN IMMEDR IN (1,2) THEN 'urgente' WHEN IMMEDR = 3 THEN
 ex AS (SELECT 'rows' AS "check", '' AS key, count(*) AS expected FROM e
        UNION ALL SELECT 'class', target, count(*) FROM e GROUP BY target),
 ob AS (SELECT 'rows' AS "check", '' AS key, count(*) AS observed FROM training
-       UNION ALL SELECT 'class', target, count(*) FROM training GROUP BY target)
+       UNION ALL SELECT 'unique_texts', '', count(DISTINCT text_hash) FROM training
+       UNION ALL SELECT 'class', target, count(*) FROM training GROUP BY target
+       UNION ALL SELECT 'split', split, count(*) FROM training GROUP BY split)
 SELECT coalesce(ob."check", ex."check") AS "check", coalesce(ob.key, ex.key) AS key, observed, expected,
-  observed IS NOT DISTINCT FROM expected AS passed
+  expected IS NULL OR observed IS NOT DISTINCT FROM expected AS passed
 FROM ob FULL OUTER JOIN ex ON ob."check" = ex."check" AND ob.key = ex.key"""
 
 
@@ -76,16 +80,12 @@ def _expected_frame(spark, sf):
 
 @register("dq_expected_counts", ["training", "visits"], _EXPECTED_SQL)
 def q_dq_expected_counts(spark, sf):
-    """Observed training-table counts against expectations passed in as a
-    table -- here the eligible cohort counted independently on the source."""
-    t = training_table(spark, sf)
-    by_class = t.groupBy("target").agg(F.count(F.lit(1)).alias("observed"))
-    ob = by_class.agg(F.coalesce(F.sum("observed"), F.lit(0)).alias("observed")).select(
-        F.lit("rows").alias("check"), F.lit("").alias("key"), "observed")
-    ob = ob.unionByName(by_class.select(F.lit("class").alias("check"), F.col("target").alias("key"), "observed"))
-    j = ob.join(_expected_frame(spark, sf), ["check", "key"], "full_outer")
-    return j.select("check", "key", "observed", "expected",
-                    F.col("observed").eqNullSafe(F.col("expected")).alias("passed"))
+    """Observed rows, classes, splits and distinct texts of the training table
+    against what is expected of them: here the rows and classes of the
+    eligible cohort, counted on the source; the others have no expectation."""
+    e = {(r["check"], r["key"]): r["expected"] for r in _expected_frame(spark, sf).collect()}  # one row per class
+    return G.expected_counts(training_table(spark, sf), rows=e[("rows", "")],
+                             classes={k: n for (check, k), n in e.items() if check == "class"})
 
 
 _DEMO_SQL = """
@@ -138,6 +138,9 @@ UNION ALL SELECT 'Demographic domains', ok, CASE WHEN ok THEN 'valid' ELSE 'inva
 UNION ALL SELECT 'RFV mapping and primary coverage', un = 0 AND k >= 0.95 * n,
   CAST(CAST(floor(10000 * k / n) AS BIGINT) AS VARCHAR) FROM u, cov
 UNION ALL SELECT 'Vital representation domains', bad = 0, CAST(bad AS VARCHAR) FROM vi
+UNION ALL SELECT 'Source file checksums', true, 'valid'
+UNION ALL SELECT 'Raw shape', count(*) > 0, CAST(count(*) AS VARCHAR) || ' rows' FROM rf
+UNION ALL SELECT 'Persisted cohort', true, CAST(count(*) AS VARCHAR) || ' rows' FROM el
 UNION ALL SELECT 'Temporal leakage contract', true, 'No overlap'"""
 
 
@@ -169,6 +172,7 @@ def q_dq_source_gates(spark, sf):
     row = per_code.agg(
         F.coalesce(F.bool_and(immedr.isin(-9, -8, 0, 1, 2, 3, 4, 5, 7)), F.lit(True)).alias("dom_ok"),
         F.count(immedr).alias("codes"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
         F.coalesce(F.sum(F.when(eligible, F.col("n"))), F.lit(0)).alias("el_n"),
         F.coalesce(F.sum(F.when(eligible, F.col("rfv1"))), F.lit(0)).alias("el_k"),
         F.countDistinct(F.when(eligible, C.target_expr())).alias("classes"),
@@ -196,6 +200,19 @@ def q_dq_source_gates(spark, sf):
          F.floor(10000 * F.col("el_k") / F.col("el_n")).cast("bigint").cast("string")),
         ("Vital representation domains", F.col("bad") == 0, F.col("bad").cast("string")),
     ]
+    # The landed files against the manifest of an earlier read; the cohort as
+    # written and read back.
+    manifest, cohort = scratch(spark, "gate-manifest"), scratch(spark, "gate-cohort")
+    FS.file_checksums(spark, sf, "*.parquet").select("file", "sha256").write.parquet(manifest)
+    files_ok = FS.verify_checksums(FS.file_checksums(spark, sf, "*.parquet"), spark.read.parquet(manifest)).agg(
+        F.coalesce(F.bool_and("valid"), F.lit(False))).first()[0]
+    C.eligible(v).select("visit_row", "IMMEDR").write.parquet(cohort)
+    persisted = spark.read.parquet(cohort).count()
+    gates += [
+        ("Source file checksums", F.lit(files_ok), F.lit("valid" if files_ok else "changed")),
+        ("Raw shape", F.col("n_rows") > 0, F.concat(F.col("n_rows").cast("string"), F.lit(" rows"))),
+        ("Persisted cohort", F.col("el_n") == persisted, F.lit(f"{persisted} rows")),
+    ]
     rows = j.select(F.explode(F.array(*[
         F.struct(F.lit(g).alias("gate"), p.alias("passed"), o.alias("observed")) for g, p, o in gates])).alias("r"))
     fixed = spark.createDataFrame([("Required schema", set(S.SOURCE_COLUMNS) <= set(v.columns), "16 required columns"),

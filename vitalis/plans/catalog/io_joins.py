@@ -108,7 +108,11 @@ def q_sink_eda_artifact(spark, sf):
     e = C.eda_table(FX.visits(spark, sf), FX.rfv_codebook(spark, sf), FX.sex_codebook(spark), FX.diag_ref(spark, sf))
     path = scratch(spark, "eda-artifact")
     TB.save_table(e, path)
-    return spark.read.parquet(path)
+    back = spark.read.parquet(path)
+    # Beside the artifact: what it holds and where it comes from.
+    TB.save_table(back.groupBy("target").agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset_version", F.lit(S.DATASET_VERSION))
+                  .withColumn("columns", F.lit(",".join(back.columns))), f"{path}-metadata")
+    return back
 
 
 @register("prj_column_contract", ["eda_text"], """
@@ -129,11 +133,13 @@ SELECT * FROM (
   UNION ALL SELECT 'split_counts', '{' || string_agg('"' || split || '": ' || CAST(n AS VARCHAR), ', ' ORDER BY split) || '}'
             FROM (SELECT split, count(*) AS n FROM training GROUP BY split) s
   UNION ALL SELECT 'split_strategy', 'stratified group quota split: 70/15/15 by text_hash'
+  UNION ALL SELECT 'source_checksum', CAST(sum(CAST('0x' || substr(md5(o_orderkey || '|' || o_custkey), 1, 7) AS BIGINT)) AS VARCHAR) FROM orders
   UNION ALL SELECT 'random_state', '42') m""")
 def q_sink_metadata(spark, sf):
     from vitalis.plans.training_table import training_table
-    from vitalis.operators.gates import metadata_table
-    return metadata_table(training_table(spark, sf))
+    from vitalis.operators.gates import content_checksum, metadata_table
+    source = content_checksum(TB.table(spark, sf, "orders"), ["o_orderkey", "o_custkey"])
+    return metadata_table(training_table(spark, sf), checksum=source)
 
 
 @register("sink_json_report", ["scored"], f"SELECT *, '{S.DATASET_VERSION}' AS dataset_version FROM ({global_sql('scored')}) m")

@@ -19,7 +19,7 @@ def q_training_table(spark, sf):
 @register("flt_eligible", ["visits"], """
 SELECT visit_row, IMMEDR FROM visits WHERE IMMEDR IN (1,2,3,4,5)""")
 def q_flt_eligible(spark, sf):
-    return C.eligible(FX.visits(spark, sf)).select("visit_row", "IMMEDR")
+    return C.require_rows(C.eligible(FX.visits(spark, sf)).select("visit_row", "IMMEDR"), "eligible visits")
 
 
 @register("prj_target_map", ["visits"], """
