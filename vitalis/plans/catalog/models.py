@@ -154,7 +154,7 @@ def q_ml_decision_tree(spark, sf):
 
 @register("ml_random_forest")
 def q_ml_random_forest(spark, sf):
-    return _tab_model(spark, sf, "random_forest", {"numTrees": 20, "maxDepth": 5})
+    return _tab_model(spark, sf, "random_forest", {"numTrees": 100, "maxDepth": 10})
 
 
 @register("ml_gradient_boosting")

@@ -127,7 +127,3 @@ VITAL_RULES = (
 
 SOURCE_COLUMNS = ("AGE", "AGEDAYS", "SEX", "IMMEDR", *RFV_COLUMNS,
                   *(r.source for r in VITAL_RULES))
-
-# The 20 fold ids as split names.
-def split_of_fold(fold: int) -> str:
-    return SPLIT_BY_FOLD[fold]
