@@ -18,8 +18,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
+#: Rows of an Arrow batch where the session keeps Spark's default: whole texts
+#: are long, and a batch is held several times outside the executor's heap.
+BATCH_ROWS = "500"
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches, unless the session has a setting of its own."""
+    if spark.conf.get(_BATCH_KEY) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Plain Parquet scan of one table."""
+    modest_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -27,6 +40,7 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             *more: Column) -> DataFrame:
     """``doc_id`` (long) and ``text`` (a null becomes the empty text), and
     nothing else of the input, so that no other column can clash."""
+    modest_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
 
@@ -44,6 +58,7 @@ def is_held_out(doc_id: Column, mod: int, rest: int) -> Column:
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there
     and a lost executor costs no recomputation of it."""
+    modest_batches(df.sparkSession)
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/vitalis-llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
