@@ -99,10 +99,11 @@ class TwoLevel:
         self.members = [[c for c in self.langs if family[c] == f] for f in self.families]
         mean = x.mean(0) if len(x) else np.zeros(BUCKETS)
         scale = (1.0 / np.sqrt(mean + 1e-5)).astype(np.float32)
-        z = (x * scale).astype(np.float32)
-        size = float(np.mean((z * z).sum(1))) if len(z) else 1.0
-        scale, z = scale / np.sqrt(size), z / np.sqrt(size)  # rows of length one on average
-        z = np.column_stack([z, np.full(len(z), 0.3, np.float32)])
+        z = np.full((len(x), BUCKETS + 1), 0.3, np.float32)  # the last column is constant
+        np.multiply(x, scale, out=z[:, :-1], casting="same_kind")
+        size = float(np.einsum("ij,ij->", z[:, :-1], z[:, :-1]) / len(z)) if len(z) else 1.0
+        scale = scale / np.float32(np.sqrt(size))  # rows of length one on average
+        z[:, :-1] /= np.float32(np.sqrt(size))
         where = np.array(y, dtype=object)
         columns = []
         f_of = np.array([self.families.index(family[c]) for c in y], dtype=int)
@@ -195,12 +196,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = rows.where(F.col("lang").isNotNull() & ~is_held_out(F.col("doc_id"), mod, rest))
     picked = bounded_sample(rows, "lang", per_lang, F.xxhash64("doc_id"), max_langs)
     found = picked.select("text", "lang").mapInArrow(_sparse, "lang string, at array<int>, value array<float>").toArrow()
-    x = np.zeros((found.num_rows, BUCKETS), np.float32)
-    for k, (at, value) in enumerate(zip(found["at"].to_pylist(), found["value"].to_pylist())):
+    rows = [(lang.as_py(), at.values.to_numpy(), value.values.to_numpy())
+            for lang, at, value in zip(found["lang"], found["at"], found["value"])]
+    rows.sort(key=lambda r: (r[0], float(r[1] @ r[2]), len(r[1])))  # the same order however the rows came
+    x = np.zeros((len(rows), BUCKETS), np.float32)
+    for k, (_, at, value) in enumerate(rows):
         x[k, at] = value
-    order = np.lexsort((x @ np.arange(BUCKETS, dtype=np.float32), np.array(found["lang"].to_pylist(), dtype=str))) if len(x) else []
-    y = [found["lang"][int(k)].as_py() for k in order]
-    return TwoLevel(x[order] if len(x) else x, y, FAMILIES if families is None else families)
+    return TwoLevel(x, [r[0] for r in rows], FAMILIES if families is None else families)
 
 
 def identify_language(docs: DataFrame, model: TwoLevel | None = None, id_col: str = "doc_id",
