@@ -25,15 +25,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large and small stars: each round joins every node to the
     least one that its neighbours know, until all components are stars. All
-    steps are aggregations with partial minima and joins to one row per node,
-    so a hub's edges never gather in one task. Each round is a written table.
+    steps are aggregations with partial minima and joins to one row per node.
+    These rows are written before they are joined: both sides are then plain
+    exchanges, and Spark can split a hub's edges over several tasks. Each round
+    is a written table.
     """
     now = write_table(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while not _stars(now):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = write_table(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = write_table(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = write_table(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).distinct())
         now = write_table(small.where("a <> b"), "small-star")

@@ -106,7 +106,7 @@ def band_hashes(signature: np.ndarray, rows: int) -> np.ndarray:
     h = np.broadcast_to(np.arange(1, m // rows + 1, dtype=np.uint64), (n, m // rows))
     for k in range(rows):
         h = _mix(h * _A + parts[:, :, k])
-    return h.view(np.int64) if h.flags.c_contiguous else np.ascontiguousarray(h).view(np.int64)
+    return np.ascontiguousarray(h).view(np.int64)
 
 
 def digest(words: list[bytes]) -> bytes:
@@ -158,7 +158,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = write_table(signed.where("node is not null").groupBy("node")
                         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "minhash-nodes")
     keys = nodes.select("node", F.explode("bands").alias("key"))
-    least = keys.groupBy("key").agg(F.min("node").alias("m"), F.count("*").alias("n")).where("n > 1").select("key", "m")
+    # What is joined to many rows of a key is written first, as then Spark can
+    # split the rows of a frequent key.
+    least = write_table(keys.groupBy("key").agg(F.min("node").alias("m"), F.count("*").alias("n")).where("n > 1").select("key", "m"), "band-least")
     near = keys.join(least, "key").where("node <> m").select(F.col("node").alias("a"), F.col("m").alias("b")).distinct()
     groups = connected_components(near)
     needed = groups.join(nodes, "node").select("node", "comp", "rep", "bands")
@@ -177,7 +179,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = connected_components(links)
     classed = nodes.select("node", "rep", "copies").join(final, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     classes = classed.groupBy("comp").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
-    of_node = classed.select("node", "comp").join(classes, "comp").select("node", "class_id", "class_size")
+    of_node = write_table(classed.select("node", "comp").join(classes, "comp").select("node", "class_id", "class_size"), "node-classes")
     return (signed.select("doc_id", "node").join(of_node, "node", "left")
             .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
                     F.coalesce("class_size", F.lit(1)).alias("class_size"))

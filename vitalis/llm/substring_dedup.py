@@ -67,8 +67,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     rows = id_text(docs, id_col, text_col).where("doc_id is not null")
     found = write_table(rows.mapInArrow(_units(unit_words), "doc_id long, unit int, start int, end int, words int, digest binary"), "units")
-    first = (found.groupBy("digest").agg(F.min(F.struct("doc_id", "unit")).alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select("digest", "first"))
+    # Written, so that Spark can split the occurrences of a frequent unit.
+    first = write_table(found.groupBy("digest").agg(F.min(F.struct("doc_id", "unit")).alias("first"), F.count("*").alias("n"))
+                        .where("n > 1").select("digest", "first"), "unit-firsts")
     again = (found.join(first, "digest").where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("unit") != F.col("first.unit")))
              .select("doc_id", "unit", "start", "end", "words", F.col("first.doc_id").alias("first_doc_id")).distinct())
     run = again.withColumn("run", F.col("unit") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("unit")))
