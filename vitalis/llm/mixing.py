@@ -223,8 +223,10 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else:
                     merged.append([a, b])
             starts = [m.start() for m in word.finditer(text)] + [len(text)]
-            pieces_ = [text[starts[a] if a else 0:starts[min(b, len(starts) - 1)]] for a, b in merged]
-            out.append("".join(pieces_[:-1]) + (pieces_[-1] if merged[-1][1] == len(starts) - 1 else pieces_[-1].rstrip(ASCII_SPACE)))
+            cut = [text[starts[a] if a else 0:starts[b]] for a, b in merged]
+            if merged[-1][1] < len(starts) - 1:  # the text goes on
+                cut[-1] = cut[-1].rstrip(ASCII_SPACE)
+            out.append("".join(cut))
         yield pa.RecordBatch.from_arrays([named(part, "row"), pa.array(out, pa.string())], ["__cut", "__mixed"])
 
 
