@@ -113,7 +113,7 @@ def test_windows_cover_every_word():
 def test_a_text_scores_as_its_highest_window():
     rng = random.Random(3)
     texts, labels = small_network(rng)
-    cut = [t[s:s + z] for t in texts for s, z in toxicity.windows(len(t)).tolist()]
+    cut = [" ".join(t[s:s + z]) for t in texts for s, z in toxicity.windows(len(t)).tolist()]
     owner = np.array([k for k, t in enumerate(texts) for _ in toxicity.windows(len(t))])
     net = toxicity.train(cut, owner, labels, 0.5, steps=60, min_docs=2)
     for t in texts[:10]:

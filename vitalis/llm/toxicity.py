@@ -9,7 +9,9 @@ network is trained in numpy on a bounded sample of labelled windows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -169,15 +171,14 @@ def start_weights(n_words: int, rng: np.random.Generator) -> Weights:
 class Encoded:
     """Windows as rows of distinct words, ready for the network."""
 
-    def __init__(self, vocabulary: dict[str, int], texts: list[list[str]]):
+    def __init__(self, vocabulary: dict[str, int], texts: Iterable[list[str]]):
         index: dict[str, int] = {}
-        self.words = index
         at, mask, self.owner = [], [], []
         for k, words in enumerate(texts):
             codes = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
             spans = windows(len(words))
             grid = np.minimum(spans[:, :1] + np.arange(WIDTH), max(0, len(words) - 1))
-            at.append(codes[grid] if len(words) else np.zeros_like(grid))
+            at.append((codes[grid] if len(words) else np.zeros_like(grid)).astype(np.int32))
             mask.append(np.arange(WIDTH) < spans[:, 1:])
             self.owner.append(np.full(len(spans), k))
         if not index:
@@ -228,10 +229,10 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def train(cut: list[list[str]], owner: np.ndarray, labels: np.ndarray, prior: float, steps: int = 500,
+def train(cut: list[str], owner: np.ndarray, labels: np.ndarray, prior: float, steps: int = 500,
           batch: int = 256, min_docs: int = 6, max_words: int = 20_000, seed: int = 11) -> Network:
     """Train on windows ``cut`` (of at most WIDTH words) of the documents
-    ``owner`` with their ``labels``; ``prior`` is the share of label 1 among all
+    ``owner``, which come one after the other, with their ``labels``; ``prior`` is the share of label 1 among all
     labelled documents, which the classes are weighted to.
 
     A document's label holds for its highest window, as that decides its score.
@@ -240,16 +241,16 @@ def train(cut: list[list[str]], owner: np.ndarray, labels: np.ndarray, prior: fl
     0 from the highest windows and from any others by turns.
     """
     rng = np.random.default_rng(seed)
-    docs_of: dict[str, set[int]] = {}
-    for k, words in zip(owner.tolist(), cut):
-        for w in words:
-            docs_of.setdefault(normal_form(w), set()).add(k)
-    common = sorted(((len(d), f) for f, d in docs_of.items() if len(d) >= min_docs), key=lambda x: (-x[0], x[1]))[:max_words]
+    df: Counter[str] = Counter()
+    for _, own in groupby(zip(owner.tolist(), cut), key=lambda x: x[0]):
+        df.update({normal_form(w) for _, t in own for w in t.split()})
+    common = sorted(((n, f) for f, n in df.items() if n >= min_docs), key=lambda x: (-x[0], x[1]))[:max_words]
+    del df
     net = Network({f: k + 1 for k, (_, f) in enumerate(common)}, start_weights(len(common) + 1, rng))
     if not cut or len(set(labels.tolist())) < 2:
         net.scale = (0.0, float(np.log((prior + 1e-3) / (1 - prior + 1e-3))))
         return net
-    data = Encoded(net.vocabulary, cut)
+    data = Encoded(net.vocabulary, (t.split() for t in cut))
     # One document in five calibrates the score; the network doesn't learn from it.
     apart = rng.random(len(labels)) < 0.2
     if len(set(labels[apart].tolist())) < 2 or len(set(labels[~apart].tolist())) < 2:
@@ -305,7 +306,7 @@ def logistic(t: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", per_class: int = 2500, windows_per_text: int = 64,
+        label_col: str = "toxic", per_class: int = 1500, windows_per_text: int = 64,
         mod: int = 3, rest: int = 1, **training) -> Network:
     """Fit on at most ``per_class`` documents of each label outside the
     held-out fold, and of each at most ``windows_per_text`` windows spread
@@ -333,7 +334,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = sorted(zip(*(found[c].to_pylist() for c in ("doc_id", "label", "words"))))
     number = {i: k for k, i in enumerate(dict.fromkeys(r[0] for r in rows))}
     label = {number[r[0]]: float(r[1]) for r in rows}
-    return train([r[2].split() for r in rows], np.array([number[r[0]] for r in rows], np.int64),
+    return train([r[2] for r in rows], np.array([number[r[0]] for r in rows], np.int64),
                  np.array([label[k] for k in range(len(label))]), float(share or 0.0), **training)
 
 
