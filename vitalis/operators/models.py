@@ -141,14 +141,15 @@ def load_model(path: str) -> PipelineModel:
 
 def text_features(pattern: str = X.TOKEN_RE_ASCII):
     """Tokens (lower-cased regex matches, no word boundaries, as the
-    vectoriser contract), then with their space-joined bigrams, as two
-    stages of built-in SQL expressions: they stay in whole-stage codegen, where
+    vectoriser contract), then with their space-joined bigrams, as one stage
+    of two built-in SQL expressions: they stay in whole-stage codegen, where
     the tokenizer and n-gram transformers are per-row Scala UDFs."""
     tokens = f"regexp_extract_all(lower(clinical_text), '{pattern}', 1)"
-    return [MF.SQLTransformer(statement=f"SELECT *, {tokens} AS _tk FROM __THIS__"),
-            MF.SQLTransformer(statement=(
-                "SELECT *, concat(_tk, zip_with(slice(_tk, 1, greatest(size(_tk) - 1, 0)), "
-                "slice(_tk, 2, greatest(size(_tk) - 1, 0)), (a, b) -> concat_ws(' ', a, b))) AS _terms FROM __THIS__"))]
+    return [PipelineModel(stages=[
+        MF.SQLTransformer(statement=f"SELECT *, {tokens} AS _tk FROM __THIS__"),
+        MF.SQLTransformer(statement=(
+            "SELECT *, concat(_tk, zip_with(slice(_tk, 1, greatest(size(_tk) - 1, 0)), "
+            "slice(_tk, 2, greatest(size(_tk) - 1, 0)), (a, b) -> concat_ws(' ', a, b))) AS _terms FROM __THIS__"))])]
 
 
 def capped_vocabulary(df: DataFrame, terms: str, min_df: int, cap: int) -> list:
@@ -186,7 +187,7 @@ def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1
     weight = F.create_map(*[x for k, (_, c) in enumerate(counts) for x in (F.lit(float(k)), F.lit(n / (len(counts) * c)))])
     # Tokens are written once; the vocabulary and the fit both read them.
     spark, path = train.sparkSession, scratch(train.sparkSession, "lr-tokens")
-    tokens_stage, terms_stage = text_features()
+    tokens_stage, terms_stage = text_features()[0].stages
     (tokens_stage.transform(idx.transform(train.select("clinical_text", label))).select("_tk", "label_id")
      .withColumn("weight", weight[F.col("label_id")]).write.parquet(path))
     tokens = spark.read.parquet(path)
