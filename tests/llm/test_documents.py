@@ -378,6 +378,34 @@ def test_bm25_matches_the_formula_and_neighbours_follow_the_seed():
     assert (used == left).all()
 
 
+def test_all_terms_of_a_seed_count():
+    # Terms beyond a seed's weightiest 64, and terms of most documents, still order the neighbours.
+    n = 200
+    idf = np.zeros(packing.TERMS)
+    idf[:n] = np.linspace(2.0, 1.0, n)
+    docs = [range(n), range(100), range(40, 60), range(100, 200)]
+    terms = [np.array([t | (1 << packing.TERM_BITS) for t in d], "<u4").tobytes() for d in docs]
+    size = np.array([len(d) for d in docs], float)
+    index = packing.Shard(terms, size, idf, 100.0)
+    # The third document has the fewest terms in common, but all among the seed's weightiest.
+    assert [d for d, _ in next(packing.fill(np.array([50, 10, 10, 10]), index, 80))] == [0, 1, 3, 2]
+    for seed in range(4):
+        want = [sum(idf[t] * 2.2 / (1 + 1.2 * (0.25 + 0.75 * z / 100.0)) for t in set(docs[seed]) & set(d) if sum(t in e for e in docs) > 1)
+                for d, z in zip(docs, size)]
+        assert index.scores(seed) == pytest.approx(want)
+
+
+def test_a_term_of_most_documents_orders_neighbours(docs_of, slow):
+    # " blue" is in a third of the documents, and all that the seed shares with them.
+    seed = "red" + " blue" * 20 + " one two three four five six seven eight nine ten"
+    other = ["table chair window door", "green grass", "cold rain", "a small house", "late trains", "old books here"]
+    texts = [(1, seed), (2, "my blue blue"), (3, "a blue blue blue"), *((k + 4, t) for k, t in enumerate(other))]
+    rows = packing.retrieval_pack(docs_of(texts), window=40).collect()
+    check_packing(texts, rows, slow, 40)
+    by = sorted((r["sequence_id"], r["offset"], r["doc_id"]) for r in rows)
+    assert by[0][2] == 1 and by[1][0] == by[0][0] and by[1][2] in (2, 3)
+
+
 # -- mixing
 
 

@@ -26,6 +26,8 @@ from vitalis.llm.common import id_text, named, slices, write_table
 TERM_BITS = 18
 TERMS = 1 << TERM_BITS
 MAX_TF = (1 << (32 - TERM_BITS)) - 1
+#: A term of more than this share of a shard's documents is stored as a table row.
+DENSE_SHARE = 0.0625
 #: Characters whose classes the two tokenizer libraries are known to agree on.
 PLAIN = re.compile("[\t\n\r -~¡-¬®-ſ]*\\Z")
 TABLE_SCHEMA = "doc_id long, n_tokens long, full array<long>, tail binary, terms binary, sketch long"
@@ -143,9 +145,10 @@ def _document_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 class Shard:
-    """BM25 inverted index over the documents of one shard, and who is unused.
+    """BM25 inverted index over the documents of one shard.
 
-    Terms in more than ``stop_share`` of all documents are left out of it."""
+    Terms in more than ``DENSE_SHARE`` of the shard are rows of a table instead,
+    which cost less to add up than as postings."""
 
     def __init__(self, terms: list[bytes], sizes_of: np.ndarray, idf: np.ndarray, mean_size: float,
                  k1: float = 1.2, b: float = 0.75):
@@ -154,8 +157,6 @@ class Shard:
         flat = np.concatenate(raw) if raw else np.zeros(0, np.uint32)
         doc = np.repeat(np.arange(len(raw)), sizes)
         term, tf = (flat & np.uint32(TERMS - 1)).astype(np.int64), (flat >> np.uint32(TERM_BITS)).astype(np.float64)
-        use = idf[term] > 0
-        doc, term, tf = doc[use], term[use], tf[use]
         norm = k1 * (1 - b + b * sizes_of / max(mean_size, 1e-9))
         weight = idf[term] * tf * (k1 + 1) / (tf + norm[doc])
         _, local = np.unique(term, return_inverse=True)
@@ -163,24 +164,33 @@ class Shard:
         count = np.bincount(local)
         use = count[local] > 1 if len(local) else np.zeros(0, bool)
         doc, local, weight = doc[use], local[use], weight[use]
-        order = np.argsort(local, kind="stable")
-        self.posting_doc, self.posting_weight = doc[order], weight[order]
-        n_terms = int(local.max()) + 1 if len(local) else 0
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=n_terms))]).astype(np.int64)
+        often = count > DENSE_SHARE * len(raw)
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.table = np.zeros((int(often.sum()), len(raw)))
+        dense = often[local]
+        self.table[self.row[local[dense]], doc[dense]] = weight[dense]
         # Each document's terms, the weightiest first.
         self.doc_terms = local[np.lexsort((-weight, doc))]
         self.doc_first = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(raw)))]).astype(np.int64)
+        doc, local, weight = doc[~dense], local[~dense], weight[~dense]
+        order = np.argsort(local, kind="stable")
+        self.posting_doc, self.posting_weight = doc[order], weight[order]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=len(count)))]).astype(np.int64)
         self.n = len(raw)
 
-    def scores(self, seed: int, query_terms: int) -> np.ndarray:
-        """BM25 of every document of the shard for the seed's weightiest terms."""
+    def scores(self, seed: int, query_terms: int | None = None) -> np.ndarray:
+        """BM25 of every document of the shard for the seed's terms: all of
+        them, or the ``query_terms`` weightiest."""
         own = self.doc_terms[self.doc_first[seed]:self.doc_first[seed + 1]][:query_terms]
+        row = self.row[own]
+        own, row = own[row < 0], row[row >= 0]
         size = self.first[own + 1] - self.first[own]
         at = np.repeat(self.first[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return np.bincount(self.posting_doc[at], weights=self.posting_weight[at], minlength=self.n)
+        rare = np.bincount(self.posting_doc[at], weights=self.posting_weight[at], minlength=self.n)
+        return rare + self.table[row].sum(0)
 
 
-def fill(left: np.ndarray, index: Shard, window: int, query_terms: int = 64) -> Iterator[list[tuple[int, int]]]:
+def fill(left: np.ndarray, index: Shard, window: int) -> Iterator[list[tuple[int, int]]]:
     """Windows as lists of (document, tokens taken); ``left`` holds the tokens
     that each document has yet to place. The seed is the unused document with
     the most tokens; neighbours follow by score, then by order."""
@@ -195,7 +205,7 @@ def fill(left: np.ndarray, index: Shard, window: int, query_terms: int = 64) ->
         room = window - row[0][1]
         left[seed] -= row[0][1]
         if room:
-            score = np.where(left > 0, index.scores(int(seed), query_terms), -1.0)
+            score = np.where(left > 0, index.scores(int(seed)), -1.0)
             while room:
                 best = int(score.argmax())
                 if score[best] < 0:
@@ -208,7 +218,7 @@ def fill(left: np.ndarray, index: Shard, window: int, query_terms: int = 64) ->
         yield row
 
 
-def _pack(path: str, window: int, shard_docs: int, idf, mean_size: float, query_terms: int):
+def _pack(path: str, window: int, shard_docs: int, idf, mean_size: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, part, number = Encoder.load(path).kind, TaskContext.get().partitionId(), 0
         weights = idf.value
@@ -228,7 +238,7 @@ def _pack(path: str, window: int, shard_docs: int, idf, mean_size: float, query_
                     number += 1
             index = Shard([r["terms"] for r in rows], np.array([r["n_tokens"] for r in rows], float), weights, mean_size)
             used = np.zeros(len(rows), np.int64)
-            for row in fill(np.array([len(t) for t in tails], np.int64), index, window, query_terms):
+            for row in fill(np.array([len(t) for t in tails], np.int64), index, window):
                 offset = 0
                 for d, take in row:
                     ids = tails[d][used[d]:used[d] + take]
@@ -252,8 +262,7 @@ def _pack(path: str, window: int, shard_docs: int, idf, mean_size: float, query_
 
 
 def retrieval_pack(docs: DataFrame, tokenizer: str | None = None, window: int = 1024, id_col: str = "doc_id",
-                   text_col: str = "text", shard_docs: int = 2048, shards_per_task: int = 4,
-                   stop_share: float = 0.125, query_terms: int = 64) -> DataFrame:
+                   text_col: str = "text", shard_docs: int = 2048, shards_per_task: int = 4) -> DataFrame:
     """Pack all documents into sequences of at most ``window`` tokens.
 
     A document is its ids by ``tokenizer`` (a path), then id 0. Returns one row
@@ -262,8 +271,8 @@ def retrieval_pack(docs: DataFrame, tokenizer: str | None = None, window: int =
     shard can be short.
 
     The terms of BM25 are a document's token ids; document frequencies and the
-    mean length come from all documents, and terms in more than ``stop_share``
-    of them aren't indexed. A seed asks for its ``query_terms`` weightiest terms.
+    mean length come from all documents. A seed asks for all of its terms, and
+    frequent ones count with their (small) weight.
     Documents with a common least hash of token pairs (near copies above all) are
     neighbours in the order that shards of ``shard_docs`` are cut from, so a
     seed finds them; equal ones are spread by id and never gather in one task.
@@ -282,9 +291,9 @@ def retrieval_pack(docs: DataFrame, tokenizer: str | None = None, window: int =
     counted = (table.select("terms").mapInArrow(_document_counts, "term long, df long")
                .groupBy("term").agg(F.sum("df").alias("df")).toArrow())  # TERMS rows at most
     df[counted["term"].to_numpy()] = counted["df"].to_numpy()
-    idf = np.where((df > 0) & (df <= max(1.0, stop_share * n)), np.log1p((n - df + 0.5) / (df + 0.5)), 0.0)
+    idf = np.where(df > 0, np.log1p((n - df + 0.5) / (df + 0.5)), 0.0)
     shared = docs.sparkSession.sparkContext.broadcast(idf)
     tasks = max(1, -(-n // (shard_docs * shards_per_task)))
     order = ["sketch", "doc_id", "n_tokens", "tail"]
     return (table.repartitionByRange(tasks, "sketch", "doc_id", "n_tokens").sortWithinPartitions(*order)
-            .mapInArrow(_pack(path, window, shard_docs, shared, tokens / n, query_terms), PIECE_SCHEMA))
+            .mapInArrow(_pack(path, window, shard_docs, shared, tokens / n), PIECE_SCHEMA))
