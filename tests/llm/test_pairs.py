@@ -265,6 +265,20 @@ def test_removed_lines_leave_the_others(docs_of):
     assert left == {1: "alpha beta gamma\n\nown words here", 2: "other start\n\nmore"}
 
 
+def test_typographic_variants_are_equal_lines(docs_of):
+    plain = "it s a so called test wait and see"
+    variants = ["It's a so-called \"test\" - wait... and see", "It\u2019s a so\u2011called \u201ctest\u201d \u2014 wait\u2026 and see",
+                "\u2022 It\u2018s\u00a0a so\u2013called \u00abtest\u00bb\u3000wait\u2026 and\u202fsee"]
+    assert {line_dedup.normal_form(v) for v in variants} == {plain}
+    assert [line_dedup.normal_form(v) for v in ("\u2014\u2014\u2014", "\u2022 \u2022 \u2022", "\u00a0")] == [""] * 3
+    # Letters and the signs that belong to them stay.
+    assert line_dedup.normal_form("\u00c9t\u00e9, \u0915\u093f \u65e5\u672c\u3002") == "\u00e9t\u00e9 \u0915\u093f \u65e5\u672c"
+    docs = docs_of([(1, f"{variants[0]}\n\u2014\u2014\u2014\nfirst words"), (2, f"{variants[1]}\n\u2014\u2014\u2014\nother things here"),
+                    (3, f"{variants[2]}\n\u2014\u2014\u2014")])
+    left = {r["doc_id"]: r["text"] for r in line_dedup.remove_lines(docs, line_dedup.line_classes(docs)).collect()}
+    assert left == {1: docs.where("doc_id = 1").first()["text"], 2: "\u2014\u2014\u2014\nother things here"}
+
+
 # -- passages
 
 
