@@ -81,3 +81,20 @@ def test_request_validity(spark):
     df = spark.createDataFrame([("   ",), ("ok",), ("x" * 5001,)], "clinical_text string")
     out = [(r["valid"], r["reason"]) for r in SC.request_validity(df).collect()]
     assert out == [(False, "empty"), (True, None), (False, "too_long")]
+
+
+def test_the_comparison_fits_the_whole_forest(monkeypatch):
+    from unittest.mock import MagicMock
+
+    from vitalis.plans.catalog import models as C
+    fitted = []
+    monkeypatch.setattr(C, "_tabular", lambda spark, sf: (None, None))
+    monkeypatch.setattr(C, "_metrics", lambda *a: MagicMock())
+    monkeypatch.setattr(C, "materialize", lambda rows, name: rows)
+    monkeypatch.setattr(C.M, "create", lambda kind, name, params: (name, params))
+    monkeypatch.setattr(C.M, "fit_and_score", lambda name, est, *a: (fitted.append(est), None, 0.0))
+    C.q_ml_compare(None, None)
+    alone = dict(fitted)["random_forest"]
+    fitted.clear()
+    C.q_ml_random_forest(None, None)
+    assert fitted == [("random_forest", alone)] and alone == {"numTrees": 100, "maxDepth": 10}

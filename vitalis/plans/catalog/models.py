@@ -140,6 +140,10 @@ def q_ml_linear_reg(spark, sf):
                                  "slope double, intercept double")
 
 
+#: The forest, alone and in the comparison.
+FOREST = {"numTrees": 100, "maxDepth": 10}
+
+
 def _tab_model(spark, sf, name, params):
     train, valid = _tabular(spark, sf)
     est = M.create("classification", name, params)
@@ -154,7 +158,7 @@ def q_ml_decision_tree(spark, sf):
 
 @register("ml_random_forest")
 def q_ml_random_forest(spark, sf):
-    return _tab_model(spark, sf, "random_forest", {"numTrees": 100, "maxDepth": 10})
+    return _tab_model(spark, sf, "random_forest", FOREST)
 
 
 @register("ml_gradient_boosting")
@@ -191,7 +195,7 @@ def q_ml_compare(spark, sf):
 def _compare(spark, sf):
     train, valid = _tabular(spark, sf)
     rows = None
-    for name, params in [("decision_tree", {"maxDepth": 5}), ("random_forest", {"numTrees": 20, "maxDepth": 5}),
+    for name, params in [("decision_tree", {"maxDepth": 5}), ("random_forest", FOREST),
                          ("naive_bayes", {"modelType": "gaussian"})]:
         _, pred, secs = M.fit_and_score(name, M.create("classification", name, params), train, valid)
         m = _metrics(pred, name, secs)
