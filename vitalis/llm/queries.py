@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitalis.llm.ann import search
 from vitalis.llm.common import read
+from vitalis.llm.hadamard import cluster, clusters_sql
 from vitalis.llm.langid import identify_language
 from vitalis.llm.line_dedup import line_classes
 from vitalis.llm.lm import score_language_model
@@ -59,6 +60,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read(spark, sf_dir, "documents"))
 
 
+def op11_hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(read(spark, sf_dir, "embeddings")).drop("centroid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_inverted_multi_index,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_backoff_automaton,
         op9_probminhash,
         op10_mix_sources,
+        op11_hadamard_clusters,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op4_passage_dedup": PASSAGES_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_passage_dedup": PASSAGES_SQL, "op11_hadamard_clusters": clusters_sql()}
