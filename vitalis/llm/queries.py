@@ -16,6 +16,7 @@ from vitalis.llm.minhash import near_duplicates
 from vitalis.llm.mixing import mix_report
 from vitalis.llm.packing import retrieval_pack
 from vitalis.llm.quality import isolation_quality
+from vitalis.llm.simhash import simhash_components
 from vitalis.llm.substring_dedup import PASSAGES_SQL, repeated_passages
 from vitalis.llm.toxicity import score_toxicity
 
@@ -64,6 +65,10 @@ def op11_hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster(read(spark, sf_dir, "embeddings")).drop("centroid")
 
 
+def op12_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_inverted_multi_index,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_probminhash,
         op10_mix_sources,
         op11_hadamard_clusters,
+        op12_simhash_vantage,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op4_passage_dedup": PASSAGES_SQL, "op11_hadamard_clusters": clusters_sql()}
