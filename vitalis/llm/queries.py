@@ -10,6 +10,7 @@ from vitalis.llm.ann import search
 from vitalis.llm.common import read
 from vitalis.llm.hadamard import cluster, clusters_sql
 from vitalis.llm.langid import identify_language
+from vitalis.llm.lexical import SEARCH_SQL, lexical_search
 from vitalis.llm.line_dedup import line_classes
 from vitalis.llm.lm import score_language_model
 from vitalis.llm.minhash import near_duplicates
@@ -69,6 +70,10 @@ def op12_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op13_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_inverted_multi_index,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_mix_sources,
         op11_hadamard_clusters,
         op12_simhash_vantage,
+        op13_pair_maxscore,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op4_passage_dedup": PASSAGES_SQL, "op11_hadamard_clusters": clusters_sql()}
+ORACLE_SQL: dict[str, str] = {"op4_passage_dedup": PASSAGES_SQL, "op11_hadamard_clusters": clusters_sql(), "op13_pair_maxscore": SEARCH_SQL}
