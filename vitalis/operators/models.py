@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalis.functions import text as X
+from vitalis.operators.boosting import Boosting
 
 RANDOM_STATE = 42
 
@@ -84,9 +85,8 @@ _CLASSIFIERS = {
     "logistic_regression": lambda p: MC.LogisticRegression(**p),
     "decision_tree": lambda p: MC.DecisionTreeClassifier(**{"seed": RANDOM_STATE, **p}),
     "random_forest": lambda p: MC.RandomForestClassifier(**{"seed": RANDOM_STATE, **p}),
-    "gradient_boosting": lambda p: MC.OneVsRest(classifier=MC.GBTClassifier(**{"seed": RANDOM_STATE, **p})),
-    "hist_gradient_boosting": lambda p: MC.OneVsRest(
-        classifier=MC.GBTClassifier(**{"seed": RANDOM_STATE, "maxBins": 255, **p})),
+    "gradient_boosting": lambda p: Boosting(**{"criterion": "variance", **p}),
+    "hist_gradient_boosting": lambda p: Boosting(**p),
     "mlp": lambda p: MC.MultilayerPerceptronClassifier(**{"seed": RANDOM_STATE, **p}),
     "naive_bayes": lambda p: MC.NaiveBayes(**p),
     "dummy": lambda p: Dummy(mode="majority", **p),
@@ -95,8 +95,8 @@ _REGRESSORS = {
     "linear_regression": lambda p: MR.LinearRegression(**{"regParam": 0.0, "solver": "normal", **p}),
     "decision_tree": lambda p: MR.DecisionTreeRegressor(**{"seed": RANDOM_STATE, **p}),
     "random_forest": lambda p: MR.RandomForestRegressor(**{"seed": RANDOM_STATE, **p}),
-    "gradient_boosting": lambda p: MR.GBTRegressor(**{"seed": RANDOM_STATE, **p}),
-    "hist_gradient_boosting": lambda p: MR.GBTRegressor(**{"seed": RANDOM_STATE, "maxBins": 255, **p}),
+    "gradient_boosting": lambda p: Boosting(**{"kind": "regression", "criterion": "variance", **p}),
+    "hist_gradient_boosting": lambda p: Boosting(**{"kind": "regression", **p}),
     "dummy": lambda p: Dummy(mode="mean", **p),
 }
 REGISTRY = {"classification": _CLASSIFIERS, "regression": _REGRESSORS}

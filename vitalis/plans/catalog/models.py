@@ -163,12 +163,12 @@ def q_ml_random_forest(spark, sf):
 
 @register("ml_gradient_boosting")
 def q_ml_gradient_boosting(spark, sf):
-    return _tab_model(spark, sf, "gradient_boosting", {"maxIter": 10, "maxDepth": 3})
+    return _tab_model(spark, sf, "gradient_boosting", {})
 
 
 @register("ml_hist_boosting")
 def q_ml_hist_boosting(spark, sf):
-    return _tab_model(spark, sf, "hist_gradient_boosting", {"maxIter": 10, "maxDepth": 3})
+    return _tab_model(spark, sf, "hist_gradient_boosting", {})
 
 
 @register("ml_tabular_net")
