@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from vitalis.functions import text as X
 from vitalis.operators.boosting import Boosting
+from vitalis.operators.nearest import Nearest
 
 RANDOM_STATE = 42
 
@@ -87,6 +88,7 @@ _CLASSIFIERS = {
     "random_forest": lambda p: MC.RandomForestClassifier(**{"seed": RANDOM_STATE, **p}),
     "gradient_boosting": lambda p: Boosting(**{"criterion": "variance", **p}),
     "hist_gradient_boosting": lambda p: Boosting(**p),
+    "knn": lambda p: Nearest(**p),
     "mlp": lambda p: MC.MultilayerPerceptronClassifier(**{"seed": RANDOM_STATE, **p}),
     "naive_bayes": lambda p: MC.NaiveBayes(**p),
     "dummy": lambda p: Dummy(mode="majority", **p),
@@ -97,6 +99,7 @@ _REGRESSORS = {
     "random_forest": lambda p: MR.RandomForestRegressor(**{"seed": RANDOM_STATE, **p}),
     "gradient_boosting": lambda p: Boosting(**{"kind": "regression", "criterion": "variance", **p}),
     "hist_gradient_boosting": lambda p: Boosting(**{"kind": "regression", **p}),
+    "knn": lambda p: Nearest(**{"kind": "regression", **p}),
     "dummy": lambda p: Dummy(mode="mean", **p),
 }
 REGISTRY = {"classification": _CLASSIFIERS, "regression": _REGRESSORS}

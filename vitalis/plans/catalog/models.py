@@ -13,6 +13,7 @@ from vitalis.functions import text as X
 from vitalis.operators import evaluate as EV
 from vitalis.operators import gates as G
 from vitalis.operators import models as M
+from vitalis.operators import nearest as NN
 from vitalis.operators import runlog as R
 from vitalis.operators import score as SC
 from vitalis.plans.catalog.eda import eda
@@ -171,6 +172,43 @@ def q_ml_hist_boosting(spark, sf):
     return _tab_model(spark, sf, "hist_gradient_boosting", {})
 
 
+KNN_SQL = """
+WITH r AS (SELECT e.*, t.split, CAST(e.AGE AS DOUBLE) AS f0, {named} FROM eda e
+  JOIN train_text x USING (visit_row) JOIN training t ON t.record_id = x.record_id),
+m AS (SELECT {medians} FROM r WHERE split = 'train'),
+f AS (SELECT visit_row, r.target, split, {filled} FROM r, m),
+d AS (SELECT q.visit_row AS q, min({{'d': {distance}, 'i': p.visit_row, 't': p.target}}, 5) AS near
+  FROM f q JOIN f p ON q.split = 'validation' AND p.split = 'train' GROUP BY q.visit_row),
+n AS (SELECT q, unnest(near) AS u FROM d),
+v AS (SELECT q, u.t AS t, count(*) AS c FROM n GROUP BY q, u.t)
+SELECT q AS visit_row, (SELECT arg_min(t, (-c, t)) FROM v WHERE v.q = n.q) AS predicted_target,
+  round(avg(CASE WHEN u.t = 'urgente' THEN 1.0E0 ELSE 0.0E0 END), 6) AS urgent_share, round(max(u.d), 6) AS reach
+FROM n GROUP BY q""".format(
+    named=", ".join(f"e.{c} AS f{k}" for k, c in enumerate(TAB_FEATURES) if k),
+    medians=", ".join(f"quantile_cont(f{k}, 0.5) AS m{k}" for k in range(len(TAB_FEATURES))),
+    filled=", ".join(f"coalesce(f{k}, m{k}) AS f{k}" for k in range(len(TAB_FEATURES))),
+    distance=" + ".join(f"(q.f{k} - p.f{k}) * (q.f{k} - p.f{k})" for k in range(len(TAB_FEATURES))))
+
+
+@register("ml_knn", ["eda", "training"], KNN_SQL)
+def q_ml_knn(spark, sf):
+    """The five nearest training visits of each validation visit by the
+    triage features, exactly: the majority class, the share of urgent ones
+    (the mean of a 0/1 label) and the squared distance of the fifth."""
+    from pyspark.ml.functions import vector_to_array
+    train, valid = _tabular(spark, sf)
+    ids = {c: float(k) for k, c in enumerate(sorted(S.TARGET_ORDER))}
+    label = F.create_map(*[F.lit(v) for pair in ids.items() for v in pair])
+    model = M.create("classification", "knn", {"idCol": "visit_row"}).fit(train.withColumn("label", label[F.col("target")]))
+    asked = valid.select("visit_row", vector_to_array("features").alias("x"))
+    found = materialize(model.neighbours(asked), "knn")
+    urgent = found.groupBy("x").agg(F.avg((F.col("label") == ids["urgente"]).cast("double")).alias("share"), F.max("distance").alias("reach"))
+    back = F.create_map(*[F.lit(v) for c, k in ids.items() for v in (k, c)])
+    return (asked.join(NN.predictions(found, "classification"), "x").join(urgent, "x")
+            .select("visit_row", back[F.col("prediction")].alias("predicted_target"), F.round("share", 6).alias("urgent_share"),
+                    F.round("reach", 6).alias("reach")))
+
+
 @register("ml_tabular_net")
 def q_ml_tabular_net(spark, sf):
     """One hidden layer (32) binary net: urgent vs not, threshold >= 0.5 on
