@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from vitalis.functions import text as X
 from vitalis.operators.boosting import Boosting
 from vitalis.operators.nearest import Nearest
+from vitalis.operators.nets import TabularClassifier, TextClassifier
 
 RANDOM_STATE = 42
 
@@ -90,6 +91,7 @@ _CLASSIFIERS = {
     "hist_gradient_boosting": lambda p: Boosting(**p),
     "knn": lambda p: Nearest(**p),
     "mlp": lambda p: MC.MultilayerPerceptronClassifier(**{"seed": RANDOM_STATE, **p}),
+    "tabular_net": lambda p: TabularClassifier(**p),
     "naive_bayes": lambda p: MC.NaiveBayes(**p),
     "dummy": lambda p: Dummy(mode="majority", **p),
 }
@@ -213,19 +215,14 @@ def fit_text_logistic(train: DataFrame, label: str = "target", max_iter: int = 1
     return PipelineModel(stages=[idx, tokens_stage, terms_stage, cv, scale, norm, model, back])
 
 
-def fit_text_pooled(train: DataFrame, label: str = "target", max_iter: int = 200) -> PipelineModel:
-    """``ml_text_pooled``: mean-pooled token embeddings + a linear softmax
-    head is linear in the L1-normalised token counts, so the same function
-    class is multinomial logistic regression on them (Unicode word
-    tokens, one-letter tokens kept)."""
+def fit_text_pooled(train: DataFrame, label: str = "target", epochs: int = 10, batch: int = 128) -> PipelineModel:
+    """``ml_text_pooled``: mean-pooled token embeddings of 64 components and a
+    softmax head, trained on mini-batches (Unicode word tokens, one-letter
+    tokens kept, up to 256 of a text and 20,000 in the vocabulary)."""
     idx = MF.StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc").fit(train)
-    tok = MF.RegexTokenizer(inputCol="clinical_text", outputCol="_tok", pattern=X.TOKEN_RE_UNICODE, gaps=False)
-    top = capped_vocabulary(tok.transform(train), "_tok", 1, 20_000)
-    cv = MF.CountVectorizerModel.from_vocabulary([r["term"] for r in top], inputCol="_tok", outputCol="_tf")
-    norm = MF.Normalizer(p=1.0, inputCol="_tf", outputCol="features")
-    lr = MC.LogisticRegression(featuresCol="features", labelCol="label_id", maxIter=max_iter, family="multinomial")
+    model = TextClassifier(labelCol="label_id", maxIter=epochs, batchSize=batch).fit(idx.transform(train))
     back = MF.IndexToString(inputCol="prediction", outputCol="predicted_target", labels=idx.labels)
-    return Pipeline(stages=[idx, tok, cv, norm, lr, back]).fit(train)
+    return PipelineModel(stages=[idx, model, back])
 
 
 # --- tabular models -------------------------------------------------------------------
