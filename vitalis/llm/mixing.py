@@ -208,26 +208,29 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
 
 
-def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each text, the words in its ranges, with the white space that follows
-    them in the original."""
+def _cut(columns: list[str], text_col: str):
+    """The columns, with the words in its ranges left of each text, and the
+    white space that follows them in the original."""
     word = re.compile(WORD)
-    for part in slices(batches):
-        out = []
-        for text, ranges in zip(named(part, "text").to_pylist(), named(part, "ranges").to_pylist()):
-            spans = [(r["first"], r["first"] + r["words"]) for r in sorted(ranges, key=lambda r: r["first"])]
-            merged: list[list[int]] = []
-            for a, b in spans:
-                if merged and merged[-1][1] == a:
-                    merged[-1][1] = b
-                else:
-                    merged.append([a, b])
-            starts = [m.start() for m in word.finditer(text)] + [len(text)]
-            cut = [text[starts[a] if a else 0:starts[b]] for a, b in merged]
-            if merged[-1][1] < len(starts) - 1:  # the text goes on
-                cut[-1] = cut[-1].rstrip(ASCII_SPACE)
-            out.append("".join(cut))
-        yield pa.RecordBatch.from_arrays([named(part, "row"), pa.array(out, pa.string())], ["__cut", "__mixed"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, column=text_col):
+            out = []
+            for text, ranges in zip(named(part, text_col).to_pylist(), named(part, "__ranges").to_pylist()):
+                spans = [(r["first"], r["first"] + r["words"]) for r in sorted(ranges, key=lambda r: r["first"])]
+                merged: list[list[int]] = []
+                for a, b in spans:
+                    if merged and merged[-1][1] == a:
+                        merged[-1][1] = b
+                    else:
+                        merged.append([a, b])
+                starts = [m.start() for m in word.finditer(text)] + [len(text)]
+                cut = [text[starts[a] if a else 0:starts[b]] for a, b in merged]
+                if merged[-1][1] < len(starts) - 1:  # the text goes on
+                    cut[-1] = cut[-1].rstrip(ASCII_SPACE)
+                out.append("".join(cut))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == text_col else named(part, c) for c in columns], columns)
+    return run
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -239,7 +242,5 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans, slots = mix(numbered, id_col, text_col, row_col="__row", **options)
     parts = (pieces(spans).join(slots.hint("merge"), ["sid", "idx"]).groupBy(F.col("row").alias("__of"), F.col("epoch").alias("__pass"))
              .agg(F.collect_list(F.struct("first", "words")).alias("__ranges")))
-    picked = write_table(numbered.join(parts.hint("merge"), numbered["__row"] == parts["__of"])
-                         .withColumn("__row", F.monotonically_increasing_id()), "mix-picked")
-    cut = picked.select(F.col("__row").alias("row"), F.col(text_col).alias("text"), F.col("__ranges").alias("ranges")).mapInArrow(_cut, "__cut long, __mixed string")
-    return (picked.join(cut, picked["__row"] == cut["__cut"]).withColumn(text_col, F.col("__mixed")).select(*docs.columns))
+    picked = numbered.join(parts.hint("merge"), numbered["__row"] == parts["__of"]).select(*docs.columns, "__ranges")
+    return picked.mapInArrow(_cut(docs.columns, text_col), docs.schema)
