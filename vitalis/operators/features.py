@@ -10,13 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalis.functions import nulls as N
 from vitalis.functions import text as X
 from vitalis.operators.quantiles import exact_quantiles
 from vitalis.operators.score import strip_text
+from vitalis.operators.stored import Stored
 
 PAD_TOKEN = "<PAD>"
 UNK_TOKEN = "<UNK>"
@@ -188,44 +191,87 @@ def label_index(df: DataFrame, label: str) -> DataFrame:
     return d.select(label, (F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy(label)) - 1).alias("label_id"))
 
 
-class TabularPreprocessor:
+class _PreprocessorParams(Params):
+    binary = Param(Params._dummy(), "binary", "columns passed through", TypeConverters.toListString)
+    numeric = Param(Params._dummy(), "numeric", "columns imputed and scaled", TypeConverters.toListString)
+    categorical = Param(Params._dummy(), "categorical", "columns imputed and encoded", TypeConverters.toListString)
+    keys = Param(Params._dummy(), "keys", "columns kept as they are", TypeConverters.toListString)
+    featureRange = Param(Params._dummy(), "featureRange", "range of the scaled columns", TypeConverters.toListFloat)
+    maxCategories = Param(Params._dummy(), "maxCategories", "categories of a column at most", TypeConverters.toInt)
+
+    def _defaults(self) -> None:
+        self._setDefault(binary=[], numeric=[], categorical=[], keys=[], featureRange=[0.0, 1.0], maxCategories=MAX_CATEGORIES)
+
+
+class TabularPreprocessor(Estimator, _PreprocessorParams, Stored):
     """``feat_fit_prepare`` / ``udf_transformer``: learn on a training
     frame, reuse on others. Binary columns pass through, numeric columns are
     median-imputed then min-max scaled, categorical columns are mode-imputed
     then one-hot encoded over the learnt (sorted) categories. Output order:
-    binary, numeric, categorical; other columns dropped (keys kept)."""
+    binary, numeric, categorical; other columns dropped (keys kept). The fitted
+    model can be saved, alone or in a pipeline, and loaded in another session."""
 
     def __init__(self, binary=(), numeric=(), categorical=(), keys=(), feature_range=(0.0, 1.0),
                  max_categories=MAX_CATEGORIES):
-        self.max_categories = max_categories
-        self.binary, self.numeric, self.categorical = list(binary), list(numeric), list(categorical)
-        self.keys, self.feature_range = list(keys), feature_range
-        self.fitted_ = False
-
-    def fit(self, df: DataFrame) -> "TabularPreprocessor":
-        self.medians_ = medians(df, self.numeric) if self.numeric else None
-        imputed = impute_median(df, self.numeric, self.medians_) if self.numeric else df
-        self.ranges_ = minmax_fit(imputed, self.numeric) if self.numeric else None
-        self.modes_ = {c: mode_value(df, c) for c in self.categorical}
-        self.categories_ = {c: categories(df, c, self.max_categories) for c in self.categorical}
-        self.fitted_ = True
-        return self
+        super().__init__()
+        self._defaults()
+        self._set(binary=list(binary), numeric=list(numeric), categorical=list(categorical), keys=list(keys),
+                  featureRange=[float(v) for v in feature_range], maxCategories=max_categories)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        if not self.fitted_:
-            raise RuntimeError("TabularPreprocessor is not fitted")
-        out = df
-        if self.numeric:
-            out = impute_median(out, self.numeric, self.medians_)
-        for c in self.categorical:
-            out = impute_mode(out, c, self.modes_[c])
-        lo, hi = self.feature_range
-        cols = [*self.keys, *[F.col(c).alias(f"bin__{c}") for c in self.binary]]
-        if self.numeric:
-            scaled = minmax_apply(out, self.numeric, self.ranges_, lo, hi,
-                                  keep=[*self.keys, *self.binary, *self.categorical])
-            out = scaled
-        cols += [F.col(c).alias(f"num__{c}") for c in self.numeric]
-        for c in self.categorical:
-            cols += [(F.col(c) == F.lit(v)).cast("int").alias(f"cat__{c}_{v}") for v in self.categories_[c]]
-        return out.select(*cols)
+        raise RuntimeError("TabularPreprocessor is not fitted")
+
+    def _fit(self, df: DataFrame) -> "TabularPreprocessorModel":
+        numeric, categorical = self.getOrDefault("numeric"), self.getOrDefault("categorical")
+        learnt = {"median": {}, "low": {}, "high": {}, "mode": {}, "categories": {}}
+        if numeric:
+            learnt["median"] = medians(df, numeric).first().asDict()
+            filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(learnt["median"][c])).alias(c) for c in numeric])
+            ranges = minmax_fit(filled, numeric).first()
+            learnt["low"], learnt["high"] = ({c: ranges[f"{c}__{end}"] for c in numeric} for end in ("min", "max"))
+        for c in categorical:
+            text = df.select(F.col(c).cast("string").alias(c))
+            top = mode_value(df, c).select(F.col("mode").cast("string").alias("mode")).first()
+            learnt["mode"][c] = top["mode"] if top else None
+            learnt["categories"][c] = categories(text, c, self.getOrDefault("maxCategories"))
+        return self._copyValues(TabularPreprocessorModel()._learnt(learnt))
+
+
+class TabularPreprocessorModel(Model, _PreprocessorParams, Stored):
+    """What was learnt, as one projection; no join and no shuffle."""
+
+    def __init__(self):
+        super().__init__()
+        self._defaults()
+
+    def _learnt(self, learnt: dict[str, dict]) -> "TabularPreprocessorModel":
+        self.learnt = learnt
+        return self
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        lo, hi = self.getOrDefault("featureRange")
+        cols = [*self.getOrDefault("keys"), *[F.col(c).alias(f"bin__{c}") for c in self.getOrDefault("binary")]]
+        for c in self.getOrDefault("numeric"):
+            median, low, high = (self.learnt[k][c] for k in ("median", "low", "high"))
+            filled = F.coalesce(F.col(c).cast("double"), F.lit(median).cast("double"))
+            varies = low is not None and high > low
+            cols.append((((filled - low) / (high - low) * (hi - lo) + lo) if varies else F.lit(lo)).alias(f"num__{c}"))
+        for c in self.getOrDefault("categorical"):
+            value = F.coalesce(F.col(c).cast("string"), F.lit(self.learnt["mode"][c]).cast("string"))
+            cols += [(value == F.lit(v)).cast("int").alias(f"cat__{c}_{v}") for v in self.learnt["categories"][c]]
+        return df.select(*cols)
+
+    def _tables(self, spark: SparkSession) -> dict[str, DataFrame]:
+        numbers = [(c, self.learnt["median"][c], self.learnt["low"][c], self.learnt["high"][c]) for c in self.learnt["median"]]
+        names = [(c, k, v) for c, vs in self.learnt["categories"].items() for k, v in enumerate(vs)]
+        return {"numbers": spark.createDataFrame(numbers, "name string, median double, low double, high double"),
+                "modes": spark.createDataFrame(list(self.learnt["mode"].items()), "name string, mode string"),
+                "categories": spark.createDataFrame(names, "name string, pos int, value string")}
+
+    def _restore(self, tables: dict[str, DataFrame]) -> None:
+        numbers, modes = tables["numbers"].collect(), tables["modes"].collect()
+        found: dict[str, list[str]] = {r["name"]: [] for r in modes}
+        for r in tables["categories"].orderBy("name", "pos").collect():
+            found[r["name"]].append(r["value"])
+        self._learnt({**{k: {r["name"]: r[k] for r in numbers} for k in ("median", "low", "high")},
+                      "mode": {r["name"]: r["mode"] for r in modes}, "categories": found})

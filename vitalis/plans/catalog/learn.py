@@ -10,6 +10,7 @@ from vitalis.operators import features as FE
 from vitalis.plans.catalog.eda import eda
 from vitalis.operators.quantiles import exact_quantiles
 from vitalis.plans.registry import register
+from vitalis.session import scratch
 from vitalis.sources import fixtures as FX
 from vitalis.sources.tables import table
 
@@ -156,10 +157,12 @@ def q_feat_fit_prepare(spark, sf):
     f"CAST(coalesce(lang, '') = '{c}' AS INT) AS cat__lang_{c}" for c in ("de", "es", "fr")) + " FROM documents")
 def q_udf_transformer(spark, sf):
     """Custom fit/transform stage storing categories: fitted on the documents
-    that aren't English, applied to all (an unknown language -> all zeros)."""
+    that aren't English, saved, loaded and applied to all (an unknown
+    language -> all zeros)."""
     d = table(spark, sf, "documents").select("doc_id", "lang", "source")
-    prep = FE.TabularPreprocessor(categorical=["lang"], keys=["doc_id"]).fit(d.where(F.col("lang") != "en"))
-    return prep.transform(d)
+    path = scratch(spark, "preprocessor")
+    FE.TabularPreprocessor(categorical=["lang"], keys=["doc_id"]).fit(d.where(F.col("lang") != "en")).write().save(path)
+    return FE.TabularPreprocessorModel.load(path).transform(d)
 
 
 @register("feat_class_weight", [], """
