@@ -282,7 +282,7 @@ def test_typographic_variants_are_equal_lines(docs_of):
 # -- passages
 
 
-def brute_passages(texts, unit_words=4, passage_words=16):
+def brute_passages(texts, passage_words=16):
     seen, out = {}, []
     for i, text in sorted(texts):
         run = []
@@ -291,7 +291,7 @@ def brute_passages(texts, unit_words=4, passage_words=16):
             if sum(u[2] for u in run) >= passage_words:
                 out.append((i, run[0][0], run[-1][1], len(run), sum(u[2] for u in run), run[0][4]))
             run.clear()
-        for u in substring_dedup.units(text or "", unit_words):
+        for u in substring_dedup.units(text or ""):
             if u[3] in seen:
                 run.append((*u, seen[u[3]]))
             else:
@@ -323,6 +323,34 @@ def test_a_passage_inside_lines_is_found(docs_of):
         assert texts[r["doc_id"]][1][r["start"]:r["end"]].strip() in passage
 
 
+def test_nothing_unique_lies_inside_a_passage(docs_of):
+    header = "The members of the house met in the old hall on the first day of the month."
+    footer = "All rights to this page and to what it shows stay with the house and its members."
+    inner = ["unique row", "other unique", "third fact"]
+    texts = [(1, f"{header}\n{footer}"), (2, "\n".join([header, *inner, footer])), (3, f"{header}\n***\n{footer}")]
+    rows = sorted(tuple(r) for r in substring_dedup.repeated_passages(docs_of(texts)).select("doc_id", "start", "end", "n_units").collect())
+    second = len("\n".join([header, *inner, ""]))
+    marks = len(texts[2][1])
+    assert rows == [(2, 0, len(header) + 1, 1), (2, second, len(texts[1][1]), 1), (3, 0, marks, 2)]
+
+
+def test_short_units_are_parts_of_passages_and_reported_alone_on_request(docs_of):
+    shouts = " ".join(f"W{k}!!" for k in range(30))
+    texts = [(1, shouts), (2, f"A beginning of its own. {shouts}"), (3, "six words stand on this line\nelse"),
+             (4, "six words stand on this line\nother")]
+    rows = {r["doc_id"]: r for r in substring_dedup.repeated_passages(docs_of(texts)).collect()}
+    assert set(rows) == {2} and rows[2]["n_units"] == 30 and texts[1][1][rows[2]["start"]:rows[2]["end"]].strip() == shouts
+    every = substring_dedup.repeated_passages(docs_of(texts), passage_words=1).collect()
+    assert {(r["doc_id"], r["n_words"], r["first_doc_id"]) for r in every} == {(2, 30, 1), (4, 6, 3)}
+
+
+def test_text_without_blanks_is_counted_by_characters(docs_of):
+    passage = "天地玄黄宇宙洪荒日月盈昃辰宿列张。寒来暑往秋收冬藏。"
+    texts = [(1, f"{passage}甲乙。"), (2, f"丙丁。{passage}")]
+    rows = substring_dedup.repeated_passages(docs_of(texts)).collect()
+    assert [(r["doc_id"], r["n_units"], r["n_words"], texts[1][1][r["start"]:r["end"]]) for r in rows] == [(2, 2, 24, passage)]
+
+
 def test_passages_odd_rows(odd, empty):
     rows = substring_dedup.repeated_passages(odd, passage_words=5).select("doc_id", "start", "end", "first_doc_id").collect()
     assert [tuple(r) for r in rows] == [(7, 0, len(ODD[3][1]), 4)]
