@@ -265,14 +265,55 @@ def test_report_gate_can_fail(spark, group, field, value):
 
 
 def test_checksums_notice_a_change(spark, tmp_path):
-    base = tmp_path / "data"
+    base, stored = tmp_path / "data", str(tmp_path / "manifest")
     (base / "t.parquet").mkdir(parents=True)
     (base / "t.parquet" / "a.parquet").write_bytes(b"one")
     (base / "b.parquet").write_bytes(b"two")
-    manifest = spark.createDataFrame([tuple(r) for r in FS.file_checksums(spark, str(base), "*.parquet").select("file", "sha256").collect()], "file string, sha256 string")
+    (base / "c.parquet").write_bytes(b"three")
+
+    def verdict():
+        manifest = FS.landed_manifest(spark, str(base), stored, "*.parquet")
+        return {r["file"]: r["valid"] for r in FS.verify_checksums(FS.file_checksums(spark, str(base), "*.parquet"), manifest).collect()}
+    assert verdict() == {"t.parquet/a.parquet": True, "b.parquet": True, "c.parquet": True}
     shutil.copy(base / "b.parquet", base / "t.parquet" / "a.parquet")
-    got = {r["file"]: r["valid"] for r in FS.verify_checksums(FS.file_checksums(spark, str(base), "*.parquet"), manifest).collect()}
-    assert got == {"t.parquet/a.parquet": False, "b.parquet": True}
+    (base / "new.parquet").write_bytes(b"three")
+    (base / "c.parquet").write_bytes(b"")
+    assert verdict() == {"t.parquet/a.parquet": False, "b.parquet": True, "c.parquet": False, "new.parquet": False}
+
+
+def test_a_file_has_one_digest_however_it_is_dealt_to_tasks(spark, tmp_path):
+    import hashlib
+    import random
+    content = random.Random(3).randbytes(10_001)
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "one").write_bytes(content)
+    whole = lambda data: hashlib.sha256("".join(hashlib.sha256(data[k:k + 1000]).hexdigest()
+                                                for k in range(0, len(data), 1000)).encode()).hexdigest()
+    for task_blocks in (1, 2, 3, 11, 50):
+        got = {r["file"]: (r["bytes"], r["digest"]) for r in FS.file_checksums(
+            spark, str(tmp_path / "d"), task_blocks=task_blocks, block_bytes=1000).collect()}
+        assert got == {"one": (10_001, whole(content))}
+
+
+def test_the_last_line_of_a_code_wins_across_blocks_and_files(spark, tmp_path):
+    import random
+    rng, want = random.Random(4), {}
+    (tmp_path / "ref").mkdir()
+    for part in range(3):
+        with open(tmp_path / "ref" / f"part-{part:05d}", "w") as f:
+            for k in range(2000):
+                code, text = f"C{rng.randrange(300)}", f"text {part} {k}"
+                f.write(f"{'REF':6}{code:7}{'':64}{text}\n")
+                want[code] = text
+            f.write(f"{'REF':6}{code:7}{'':64}\n")  # without a text: no line of the code
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        got = FS.fixed_width_reference(spark, str(tmp_path / "ref")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert {r["code"]: r["description"] for r in got} == want
+    assert sum(r["n_lines"] for r in got) == 6000 and all(r["conflicting"] for r in got if r["n_lines"] > 1)
 
 
 def test_the_package_travels_as_a_zip(tmp_path):

@@ -10,6 +10,7 @@ from vitalis.functions import text as X
 from vitalis.operators import clean as C
 from vitalis.operators import gates as G
 from vitalis.operators import profile as P
+from vitalis.plans.catalog.io_joins import source_manifest
 from vitalis.plans.registry import register
 from vitalis.plans.training_table import training_table
 from vitalis.session import scratch
@@ -200,11 +201,10 @@ def q_dq_source_gates(spark, sf):
          F.floor(10000 * F.col("el_k") / F.col("el_n")).cast("bigint").cast("string")),
         ("Vital representation domains", F.col("bad") == 0, F.col("bad").cast("string")),
     ]
-    # The landed files against the manifest of an earlier read; the cohort as
+    # The landed files against the manifest of their first read; the cohort as
     # written and read back.
-    manifest, cohort = scratch(spark, "gate-manifest"), scratch(spark, "gate-cohort")
-    FS.file_checksums(spark, sf, "*.parquet").select("file", "sha256").write.parquet(manifest)
-    files_ok = FS.verify_checksums(FS.file_checksums(spark, sf, "*.parquet"), spark.read.parquet(manifest)).agg(
+    cohort = scratch(spark, "gate-cohort")
+    files_ok = FS.verify_checksums(FS.file_checksums(spark, sf, "*.parquet"), source_manifest(spark, sf)).agg(
         F.coalesce(F.bool_and("valid"), F.lit(False))).first()[0]
     C.eligible(v).select("visit_row", "IMMEDR").write.parquet(cohort)
     persisted = spark.read.parquet(cohort).count()

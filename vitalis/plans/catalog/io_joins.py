@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from vitalis.operators import eda as E
 from vitalis.plans.catalog.eda import eda
 from vitalis.plans.catalog.learn import global_sql
 from vitalis.plans.registry import register
-from vitalis.session import materialize, scratch
+from vitalis.session import checkpoint_dir, materialize, scratch
 from vitalis.sources import files as FS
 from vitalis.sources import fixtures as FX
 from vitalis.sources import tables as TB
@@ -61,14 +62,15 @@ def q_src_column_labels(spark, sf):
 
 
 @register("src_fixed_width", [], """
-SELECT code, CASE WHEN n_desc = 1 THEN description END AS description, n_lines, n_desc > 1 AS conflicting
-FROM (SELECT 'P' || CAST(p_partkey % 1000 AS VARCHAR) AS code, min(p_brand) AS description,
-        count(*) AS n_lines, count(DISTINCT p_brand) AS n_desc FROM part GROUP BY 1) g""")
+SELECT 'P' || CAST(p_partkey % 1000 AS VARCHAR) AS code, arg_max(p_brand, p_partkey) AS description,
+  count(*) AS n_lines, count(DISTINCT p_brand) > 1 AS conflicting
+FROM part GROUP BY 1""")
 def q_src_fixed_width(spark, sf):
-    """Build a fixed-width reference file from ``part`` (code in columns
-    7-13, text from column 78), then parse it back."""
+    """Land a fixed-width reference file from ``part`` (code in columns 7-13,
+    text from column 78; lines in order of the part's key, codes repeated),
+    then parse it back."""
     path = scratch(spark, "fixed-width")
-    lines = TB.table(spark, sf, "part").select(F.format_string(
+    lines = TB.table(spark, sf, "part").orderBy("p_partkey").select(F.format_string(
         "%-6s%-7s%-64s%s", F.lit("REF"), F.concat(F.lit("P"), (F.col("p_partkey") % 1000).cast("string")),
         F.lit(""), F.col("p_brand")).alias("value"))
     lines.write.mode("overwrite").text(path)
@@ -155,13 +157,17 @@ def q_sink_json_report(spark, sf):
     return spark.read.schema(report.schema).json(path).select("metrics.*", "dataset_version")
 
 
+def source_manifest(spark, sf):
+    """The manifest of the files under ``sf``, of this application's first read."""
+    key = hashlib.sha256(f"{sf.rstrip('/')}|{spark.sparkContext.applicationId}".encode()).hexdigest()[:24]
+    return FS.landed_manifest(spark, sf, f"{checkpoint_dir(spark).rstrip('/')}/vitalis-manifest-{key}", "*.parquet")
+
+
 @register("src_file_checksum")
 def q_src_file_checksum(spark, sf):
-    """SHA-256 per landed file (``binaryFile`` scan), against a manifest that
-    was written from an earlier read of the same folder."""
-    path = scratch(spark, "manifest")
-    FS.file_checksums(spark, sf, "*.parquet").select("file", "sha256").write.parquet(path)
-    return FS.verify_checksums(FS.file_checksums(spark, sf, "*.parquet"), spark.read.parquet(path))
+    """Digests of the landed files, read block by block, against the manifest
+    that was stored when they were first seen."""
+    return FS.verify_checksums(FS.file_checksums(spark, sf, "*.parquet"), source_manifest(spark, sf))
 
 
 @register("fn_text_sha256", [], "SELECT doc_id, sha256(text) AS sha256 FROM documents")
