@@ -249,6 +249,34 @@ def test_run_log_accumulates_and_its_gate_can_fail(spark, tmp_path):
     assert failed(report.withColumn("run_id", F.lit(None).cast("string"))) >= {"ids_present"}
 
 
+def test_writers_at_once_take_distinct_versions(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    path = str(tmp_path / "log")
+    metrics = spark.createDataFrame([("m1", 0.9, 0.8, 0.7), ("m2", 0.8, 0.9, 0.7)], "model string, accuracy double, f1_macro double, urgent_recall double")
+    with ThreadPoolExecutor(6) as pool:
+        firsts = list(pool.map(lambda k: R.append(spark, path, metrics, commit=f"{k:040x}"), range(6)))
+    rows = R.runs(spark, path).collect()
+    assert sorted(firsts) == [1, 3, 5, 7, 9, 11] and sorted(r["version"] for r in rows) == list(range(1, 13))
+    for k, first in enumerate(firsts):  # a commit is whole
+        assert sorted((r["version"], r["model"]) for r in rows if r["commit"] == f"{k:040x}") == [(first, "m1"), (first + 1, "m2")]
+    assert len({r["run_id"] for r in rows}) == 12
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda v: R.name_version(spark, path, "champion", v), (1, 2, 3, 4)))
+    turns = {r["set_at"]: r["version"] for r in R.aliases(spark, path).collect()}
+    assert sorted(turns) == [1, 2, 3, 4] and R.named_version(spark, path) == turns[4]
+    assert not [p for p in (tmp_path / "log" / "runs").iterdir() if p.name.startswith("_")]
+
+
+def test_a_commit_in_the_making_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "log")
+    metrics = spark.createDataFrame([("m1", 0.9, 0.8, 0.7)], "model string, accuracy double, f1_macro double, urgent_recall double")
+    R.append(spark, path, metrics, commit="a" * 40)
+    (tmp_path / "log" / "runs" / "_halfway").write_text('{"run_id": "x", "version": 2')
+    assert [r["version"] for r in R.runs(spark, path).collect()] == [1]
+    assert R.append(spark, path, metrics, commit="a" * 40) == 2
+    assert not R._create(spark, f"{path}/runs/{1:019d}.json", "other") and R.runs(spark, path).count() == 2
+
+
 @pytest.mark.parametrize("group, field, value", [
     ("metrics", "f1_macro", 0.5499996), ("metrics", "urgent_recall", 0.1), ("benchmark", "agreement", 0.9999999),
     ("benchmark", "runs", 29), ("benchmark", "speedup", 1.0)])
