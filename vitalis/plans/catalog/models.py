@@ -22,6 +22,7 @@ from vitalis.plans.training_table import training_table
 from vitalis.session import checkpoint_dir, materialize, scratch
 from vitalis.sources import fixtures as FX
 from vitalis.sources.tables import table
+from vitalis.streaming import serving as SV
 
 TAB_FEATURES = ["AGE", "temperature_f", "heart_rate", "respiratory_rate", "systolic_bp", "diastolic_bp",
                 "oxygen_saturation", "pain_scale"]
@@ -351,22 +352,25 @@ def q_dq_registration_gate(spark, sf):
 
 # --- scoring ---------------------------------------------------------------------------
 
-def _stored_model(spark, sf):
-    """The text model of a dataset version, fitted and saved once for the
-    tables under ``sf`` in this application and loaded from then on."""
+def _store(spark, sf):
+    """The published text models of a dataset version, for the tables under
+    ``sf`` in this application; the first is fitted and published here."""
     key = hashlib.sha256(f"{sf.rstrip('/')}|{S.DATASET_VERSION}|{spark.sparkContext.applicationId}".encode()).hexdigest()[:24]
-    path = f"{checkpoint_dir(spark).rstrip('/')}/vitalis-model-{key}"
-    try:
-        return M.load_model(path)
-    except FileNotFoundError:
-        M.save_model(M.fit_text_logistic(_train_valid_text(spark, sf)[0]), path)
-        return M.load_model(path)
+    store = SV.ModelStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/vitalis-serving-{key}")
+    if store.version() is None:
+        store.publish(M.fit_text_logistic(_train_valid_text(spark, sf)[0]), 1)
+    return store
+
+
+def _stored_model(spark, sf):
+    """The published text model, loaded."""
+    return _store(spark, sf).current()[1]
 
 
 def _scored(model, requests):
     return model.transform(requests).select(
         "record_id", F.col("predicted_target").alias("target"),
-        SC.probability_map(sorted(S.TARGET_ORDER)).alias("probabilities"), F.lit(S.DATASET_VERSION).alias("model_version"))
+        SC.probability_map(sorted(S.TARGET_ORDER)).alias("probabilities"), F.lit(S.DATASET_VERSION).alias("dataset_version"))
 
 
 def _requests(spark, sf):
@@ -376,7 +380,8 @@ def _requests(spark, sf):
 
 
 def _score_batch(spark, sf):
-    out = _scored(_stored_model(spark, sf), _requests(spark, sf))
+    version, model = _store(spark, sf).current()
+    out = _scored(model, _requests(spark, sf)).withColumn("model_version", F.lit(version))
     return out.withColumn("confidence", SC.confidence("probabilities"))
 
 
@@ -388,18 +393,14 @@ def q_score_batch(spark, sf):
 @register("score_stream")
 def q_score_stream(spark, sf):
     """Requests land as parquet files; a Structured Streaming query scores
-    them with the fitted pipeline and writes predictions (never the text)
-    to the sink. ``availableNow`` drains what has landed, then stops."""
-    model = _stored_model(spark, sf)
-    landing = scratch(spark, "requests")
-    _requests(spark, sf).write.mode("overwrite").parquet(landing)
+    them with the model that the alias names at each micro-batch, refuses
+    invalid ones, and writes predictions (never the text) by batch."""
+    store = _store(spark, sf)
+    landing, out = scratch(spark, "requests"), scratch(spark, "predictions")
+    training_table(spark, sf).select("record_id", "clinical_text").write.parquet(landing)
     stream = spark.readStream.schema("record_id string, clinical_text string").parquet(landing)
-    scored = _scored(model, stream)
-    out_path, ck = scratch(spark, "predictions"), scratch(spark, "predictions-ckpt")
-    q = (scored.writeStream.format("parquet").option("checkpointLocation", ck)
-               .trigger(availableNow=True).start(out_path))
-    q.awaitTermination()
-    return spark.read.parquet(out_path)
+    SV.drain(stream, SV.batch_scorer(store, _scored, out, f"{out}-refused"), f"{out}-ckpt")
+    return spark.read.parquet(out)
 
 
 @register("score_confidence", ["scored"], """
