@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vitalis import schemas as S
+from vitalis.operators import categories as CT
 from vitalis.operators import evaluate as EV
 from vitalis.operators import features as FE
 from vitalis.plans.catalog.eda import eda
@@ -128,6 +129,21 @@ def q_feat_onehot(spark, sf):
     return FE.onehot(c, "c_mktsegment", FE.categories(c, "c_mktsegment"), keep=["c_custkey"])
 
 
+@register("feat_onehot_sparse", [], """
+WITH d AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS id
+           FROM (SELECT DISTINCT 'C' || CAST(o_custkey AS VARCHAR) AS v FROM orders WHERE o_orderstatus = 'F'))
+SELECT o_orderkey, (SELECT count(*) FROM d) AS n_categories, id AS hot
+FROM orders LEFT JOIN d ON v = 'C' || CAST(o_custkey AS VARCHAR)""")
+def q_feat_onehot_sparse(spark, sf):
+    """One category for each customer with a finished order, coded on all
+    orders: the length of the sparse vector and the place of its 1 (null for
+    a customer that wasn't learnt)."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer"))
+    out = CT.SparseOneHot(["customer"]).fit(o.where("o_orderstatus = 'F'")).transform(o)
+    v = F.unwrap_udt("cat__customer")
+    return out.select("o_orderkey", v["size"].alias("n_categories"), F.get(v["indices"], F.lit(0)).alias("hot"))
+
+
 @register("feat_binary_passthrough", [], """
 SELECT doc_id, quality AS bin__quality, toxic AS bin__toxic,
   round((doc_id - min(doc_id) OVER ()) / (max(doc_id) OVER () - min(doc_id) OVER ()), 6) AS num__doc_id FROM labels""")
