@@ -309,6 +309,18 @@ def test_checksums_notice_a_change(spark, tmp_path):
     assert verdict() == {"t.parquet/a.parquet": False, "b.parquet": True, "c.parquet": False, "new.parquet": False}
 
 
+def test_a_rewritten_file_of_the_same_name_is_a_new_source(spark, tmp_path):
+    copy = tmp_path / "sf"
+    shutil.copytree(SF_SMALL, copy)
+    key = TT.source_key(spark, str(copy))
+    assert key == TT.source_key(spark, str(copy))
+    rows = TT.training_table(spark, str(copy)).count()
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").where("o_orderkey % 2 = 0").coalesce(1).write.parquet(str(tmp_path / "half"))
+    shutil.copy(next((tmp_path / "half").glob("part-*")), copy / "orders.parquet")
+    assert TT.source_key(spark, str(copy)) != key
+    assert 0 < TT.training_table(spark, str(copy)).count() < rows
+
+
 def test_a_file_has_one_digest_however_it_is_dealt_to_tasks(spark, tmp_path):
     import hashlib
     import random

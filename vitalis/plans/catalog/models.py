@@ -15,10 +15,11 @@ from vitalis.operators import models as M
 from vitalis.operators import nearest as NN
 from vitalis.operators import runlog as R
 from vitalis.operators import score as SC
+from vitalis.operators.quantiles import exact_quantiles
 from vitalis.plans.catalog.eda import eda
 from vitalis.plans.catalog.learn import MAJ_SQL
 from vitalis.plans.registry import register
-from vitalis.plans.training_table import training_table
+from vitalis.plans.training_table import source_key, training_table
 from vitalis.session import checkpoint_dir, materialize, scratch
 from vitalis.sources import fixtures as FX
 from vitalis.sources.tables import table
@@ -274,13 +275,13 @@ def _run_log(spark):
     return f"{checkpoint_dir(spark).rstrip('/')}/vitalis-runlog-{spark.sparkContext.applicationId}"
 
 
-_compared: dict[tuple[str, str], DataFrame] = {}
+_compared: dict[tuple, DataFrame] = {}
 
 
 def _logged(spark, sf):
     """The path of the run log, with the candidates' runs appended; they are
     fitted once for an application and its tables, and logged each time."""
-    path, key = _run_log(spark), (spark.sparkContext.applicationId, sf)
+    path, key = _run_log(spark), source_key(spark, sf)
     if key not in _compared:
         _compared[key] = _compare(spark, sf)
     R.append(spark, path, _compared[key])
@@ -326,9 +327,8 @@ def q_dq_report_gate(spark, sf):
     model, (_, valid) = _stored_model(spark, sf), _train_valid_text(spark, sf)
     m = _metrics(model.transform(valid), "tfidf_logistic", digits=None)
     same = R.agreement(q_score_batch(spark, sf), q_score_stream(spark, sf))
-    hist = table(spark, sf, "events").groupBy("event_type", "value").agg(F.count(F.lit(1)).alias("c"))
-    lat = hist.groupBy("event_type").agg(F.sum("c").alias("runs"), F.percentile("value", 0.5, F.col("c")).alias("median"))
-    bench = lat.agg(F.min("runs").alias("runs"), (F.max("median") / F.min("median")).alias("speedup"))
+    medians = exact_quantiles(table(spark, sf, "events").select("event_type", "value"), ["event_type"], "value", [0.5])
+    bench = medians.agg(F.min("n").alias("runs"), (F.max("q0") / F.min("q0")).alias("speedup"))
     g = lambda d: d.withColumn("_g", F.lit(0))
     report = g(m).join(g(bench), "_g").join(g(same), "_g").select(
         F.struct("accuracy", "f1_macro", "urgent_recall").alias("metrics"),
@@ -355,7 +355,7 @@ def q_dq_registration_gate(spark, sf):
 def _store(spark, sf):
     """The published text models of a dataset version, for the tables under
     ``sf`` in this application; the first is fitted and published here."""
-    key = hashlib.sha256(f"{sf.rstrip('/')}|{S.DATASET_VERSION}|{spark.sparkContext.applicationId}".encode()).hexdigest()[:24]
+    key = hashlib.sha256(repr(source_key(spark, sf)).encode()).hexdigest()[:24]
     store = SV.ModelStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/vitalis-serving-{key}")
     if store.version() is None:
         store.publish(M.fit_text_logistic(_train_valid_text(spark, sf)[0]), 1)

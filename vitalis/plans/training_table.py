@@ -21,6 +21,7 @@ from vitalis.operators import gates as G
 from vitalis.operators.split import assign_splits
 from vitalis.session import discard, materialize, scratch
 from vitalis.sources import fixtures as FX
+from vitalis.sources.files import files_signature
 
 
 def decoded_visits(visits: DataFrame, rfv_codebook: DataFrame, sex_codebook: DataFrame) -> DataFrame:
@@ -83,15 +84,22 @@ ENFORCED = ("schema_valid", "not_empty", "no_nulls", "record_id_unique", "versio
 _published: dict[tuple, DataFrame] = {}
 
 
+def source_key(spark: SparkSession, sf_dir: str, version: str = S.DATASET_VERSION) -> tuple:
+    """What the training table depends on: this application, the version and
+    the input files, by name, length and time, so that a rewritten file of the
+    same name counts as new."""
+    files = {*FX.visits(spark, sf_dir).inputFiles(), *FX.rfv_codebook(spark, sf_dir).inputFiles()}
+    return spark.sparkContext.applicationId, version, files_signature(spark, sorted(files))
+
+
 def training_table(spark: SparkSession, sf_dir: str, version: str = S.DATASET_VERSION) -> DataFrame:
     """The training table of the tables under ``sf_dir``: built once for an
     application, its input files and a dataset version, and published only if
     the enforced checks of the contract hold; every gate, report and fit reads
     what was published."""
-    visits, codebook = FX.visits(spark, sf_dir), FX.rfv_codebook(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, version, tuple(sorted(visits.inputFiles() + codebook.inputFiles())))
+    key = source_key(spark, sf_dir, version)
     if key not in _published:
-        table = build_training_table(visits, codebook, FX.sex_codebook(spark), version)
+        table = build_training_table(FX.visits(spark, sf_dir), FX.rfv_codebook(spark, sf_dir), FX.sex_codebook(spark), version)
         G.enforce(G.training_contract(table, version).where(F.col("check").isin(*ENFORCED)))
         _published[key] = table
     return _published[key]

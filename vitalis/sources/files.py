@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -93,6 +94,15 @@ def file_checksums(spark: SparkSession, base_dir: str, glob: str = "*", task_blo
         F.col("length").alias("bytes"), "digest")
 
 
+def files_signature(spark: SparkSession, paths: list[str]) -> str:
+    """A mark that changes with the names, lengths or times of the files at
+    ``paths`` (as ``inputFiles`` gives them): a key for what was derived from
+    them. Contents aren't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([unquote(p) for p in paths])
+    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return ":".join(str(v) for v in files.agg(F.count(F.lit(1)), F.sum(mark), F.sum(F.col("length"))).first())
+
+
 def landed_manifest(spark: SparkSession, base_dir: str, path: str, glob: str = "*") -> DataFrame:
     """The manifest of the files under ``base_dir``, stored at ``path`` when
     they were first seen: a later call reads it and reads no file."""
