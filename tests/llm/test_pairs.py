@@ -201,7 +201,7 @@ def test_simhash_is_the_weighted_majority():
     rng = random.Random(6)
     lines = [" ".join("xé" * rng.randrange(1, 9) + str(rng.randrange(50)) for _ in range(rng.choice([1, 2, 30, 255, 256, 257, 900]))) for _ in range(60)]
     lines += ["y" * 9000, " ".join(["z" * 300] * 600), "one"]
-    for line, got in zip(lines, line_dedup.simhashes([x.encode() for x in lines]).tolist()):
+    for line, got in zip(lines, line_dedup.fingerprints([x.encode() for x in lines])[0].tolist()):
         votes = [0] * 64
         for w in line.encode().split(b" "):
             raw = hashed(w)
@@ -211,26 +211,26 @@ def test_simhash_is_the_weighted_majority():
         assert got == int.from_bytes(want, "little")
 
 
-def test_tables_meet_at_every_distance_up_to_the_limit():
-    rng = random.Random(5)
-    masks = [m for _, m in line_dedup.table_keys(3, 5)]
-    assert len(masks) == 10
-    for _ in range(500):
-        x, flip = rng.getrandbits(64), sum(1 << b for b in rng.sample(range(64), rng.randrange(4)))
-        assert any(x & m == (x ^ flip) & m for m in masks)
-
-
-def brute_lines(texts, distance=3, similarity=0.8):
+def line_forms(texts):
     places = {}
     for i, text in texts:
         for k, line in enumerate((text or "").split("\n")):
             form = line_dedup.normal_form(line)
             if form and i is not None:
                 places.setdefault(form, set()).add((i, k))
+    return places
+
+
+def brute_lines(texts, distance=18, similarity=0.8):
+    """Classes by the operator's rule, all pairs compared."""
+    places = line_forms(texts)
     forms = list(places)
-    h = [int(v) for v in line_dedup.simhashes([f.encode() for f in forms])]
-    links = [(a, b) for a, b in combinations(range(len(forms)), 2) if (h[a] ^ h[b]).bit_count() <= distance
-             and 1 - levenshtein(forms[a], forms[b]) / max(len(forms[a]), len(forms[b])) >= similarity]
+    h, keys = line_dedup.fingerprints([f.encode() for f in forms])
+    h, keys = h.tolist(), [set(k) - {0} for k in keys.tolist()]
+    close = [(a, b) for a, b in combinations(range(len(forms)), 2) if (h[a] ^ h[b]).bit_count() <= distance]
+    group = classes(len(forms), [(a, b) for a, b in close if keys[a] & keys[b] or h[a] == h[b]])
+    links = [(a, b) for a, b in close if group[a] == group[b]
+             and line_dedup.edit_similarity(forms[a], forms[b]) >= similarity]
     root = classes(len(forms), links)
     keep = {}
     for k, f in enumerate(forms):
@@ -249,6 +249,68 @@ def test_line_classes_match_all_pairs(spark, real):
     assert got == want
 
 
+def test_recall_against_edit_similarity_alone(real):
+    texts = [(r["doc_id"], r["text"]) for r in real("documents").where("length(text) < 4000").collect()]
+    places = line_forms(texts)
+    forms = sorted(places, key=len)
+    sizes = np.array([len(f) for f in forms])
+    letters = np.array([np.bincount(np.frombuffer(f.encode("utf-32-le"), np.uint32) % 256, minlength=256) for f in forms])
+    similar = []
+    for k, a in enumerate(forms):
+        # An edit changes two letter counts by one at most.
+        apart = np.abs(letters[k + 1:] - letters[k]).sum(axis=1)
+        for b in np.flatnonzero(apart <= 0.4 * sizes[k + 1:]) + k + 1:
+            if line_dedup.similar_forms(a, forms[b], 0.8):
+                similar.append((a, forms[b]))
+    found = brute_lines(texts)[0]
+    together = sum(found[min(places[a])] == found[min(places[b])] for a, b in similar)
+    assert len(similar) > 30 and together >= 0.9 * len(similar)
+
+
+@pytest.mark.parametrize("words, floor", [(8, 0.8), (12, 0.9), (20, 0.9), (40, 0.9), (80, 0.9), (400, 0.9)])
+def test_changed_lines_meet_by_length(words, floor):
+    rng = random.Random(words)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10))) for _ in range(5000)]
+    found = tried = 0
+    for k in range(300):
+        a = [vocabulary[int(min(4999, rng.paretovariate(0.6)))] for _ in range(words)]
+        b = list(a)
+        if k % 3 == 0:  # one letter
+            at = rng.randrange(words)
+            b[at] = "x" + b[at][1:]
+        else:  # a word, or a word in twenty
+            for at in rng.sample(range(words), 1 if k % 3 == 1 else max(1, words // 20)):
+                b[at] = rng.choice(vocabulary)
+        x, y = " ".join(a), " ".join(b)
+        if x == y or line_dedup.edit_similarity(x, y) < 0.8:
+            continue
+        tried += 1
+        h, keys = line_dedup.fingerprints([x.encode(), y.encode()])
+        found += bool((set(keys[0].tolist()) & set(keys[1].tolist())) - {0}) and int(h[0] ^ h[1]).bit_count() <= 18
+    assert tried > 200 and found >= floor * tried
+
+
+def test_block_keys_by_hand():
+    lines = ["one two three four five six seven", "y" * 50, "la ja", " ".join(f"word{k}" for k in range(90)), "b " * 60 + "end", "a b"]
+    h, keys = line_dedup.fingerprints([x.strip().encode() for x in lines])
+    alone = line_dedup.fingerprints([lines[3].encode()])
+    assert h[3] == alone[0][0] and keys[3].tolist() == alone[1][0].tolist()
+    turned = line_dedup.fingerprints([" ".join(reversed(lines[3].split())).encode()])
+    assert turned[1][0].tolist() == keys[3].tolist()
+    assert (keys[3] != 0).sum() == 12 and (keys[1] != 0).sum() == 2 and not keys[5].any()
+    changed = line_dedup.fingerprints([lines[3].replace("word7 ", "other ").encode()])[1][0]
+    assert (changed != keys[3]).sum() <= 2
+
+
+def test_similar_forms_is_the_edit_similarity():
+    rng = random.Random(8)
+    for _ in range(300):
+        a = "".join(rng.choice("abc") for _ in range(rng.randrange(40)))
+        b = "".join(c if rng.random() > 0.15 else rng.choice(["", "x", c + "y"]) for c in a)
+        for s in (0.5, 0.8, 0.9):
+            assert line_dedup.similar_forms(a, b, s) == (1 - levenshtein(a, b) / max(1, len(a), len(b)) >= s)
+
+
 def test_line_classes_and_removal_of_odd_rows(odd, empty):
     classes_ = line_dedup.line_classes(odd)
     rows = {tuple(r) for r in classes_.collect()}
