@@ -221,7 +221,7 @@ def line_forms(texts):
     return places
 
 
-def brute_lines(texts, distance=18, similarity=0.8):
+def brute_lines(texts, distance=20, similarity=0.8):
     """Classes by the operator's rule, all pairs compared."""
     places = line_forms(texts)
     forms = list(places)
@@ -267,12 +267,12 @@ def test_recall_against_edit_similarity_alone(real):
     assert len(similar) > 30 and together >= 0.9 * len(similar)
 
 
-@pytest.mark.parametrize("words, floor", [(8, 0.8), (12, 0.9), (20, 0.9), (40, 0.9), (80, 0.9), (400, 0.9)])
+@pytest.mark.parametrize("words, floor", [(5, 0.8), (8, 0.9), (12, 0.9), (20, 0.9), (40, 0.9), (80, 0.9), (400, 0.9)])
 def test_changed_lines_meet_by_length(words, floor):
     rng = random.Random(words)
     vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10))) for _ in range(5000)]
     found = tried = 0
-    for k in range(300):
+    for k in range(500):
         a = [vocabulary[int(min(4999, rng.paretovariate(0.6)))] for _ in range(words)]
         b = list(a)
         if k % 3 == 0:  # one letter
@@ -286,7 +286,7 @@ def test_changed_lines_meet_by_length(words, floor):
             continue
         tried += 1
         h, keys = line_dedup.fingerprints([x.encode(), y.encode()])
-        found += bool((set(keys[0].tolist()) & set(keys[1].tolist())) - {0}) and int(h[0] ^ h[1]).bit_count() <= 18
+        found += bool((set(keys[0].tolist()) & set(keys[1].tolist())) - {0}) and int(h[0] ^ h[1]).bit_count() <= 20
     assert tried > 200 and found >= floor * tried
 
 
@@ -297,7 +297,7 @@ def test_block_keys_by_hand():
     assert h[3] == alone[0][0] and keys[3].tolist() == alone[1][0].tolist()
     turned = line_dedup.fingerprints([" ".join(reversed(lines[3].split())).encode()])
     assert turned[1][0].tolist() == keys[3].tolist()
-    assert (keys[3] != 0).sum() == 12 and (keys[1] != 0).sum() == 2 and not keys[5].any()
+    assert (keys[3] != 0).sum() == 12 and (keys[1] != 0).sum() == 4 and (keys[5] != 0).sum() == 2
     changed = line_dedup.fingerprints([lines[3].replace("word7 ", "other ").encode()])[1][0]
     assert (changed != keys[3]).sum() <= 2
 
