@@ -80,14 +80,30 @@ def decode(df: DataFrame, codebook: DataFrame, code_col: str, out_col: str,
 
 def decode_complaints(df: DataFrame, codebook: DataFrame, cols: Sequence[str] = S.RFV_COLUMNS) -> DataFrame:
     """``join_codebook_multi``: decode all complaint slots against one code
-    book, one left lookup per slot. Repeated codes are refused. The plan is
-    the same at every size; only whether a lookup is broadcast (its size is
-    checked) or shuffled differs, so the answer can't."""
+    book. Repeated codes are refused. A small code book (its size is checked)
+    is broadcast, one left lookup per slot; with a larger one only the codes are
+    shuffled to their labels, not the rows once per slot."""
     from vitalis.session import BROADCAST_MAX_ROWS, small_enough
 
     cb = codebook.where(F.col("code") > 0).select(F.col("code").cast("bigint").alias("code"), "label")
     require_unique_codes(cb)
-    return decode_complaints_wide(df, cb, cols, broadcast=small_enough(cb, BROADCAST_MAX_ROWS))
+    if small_enough(cb, BROADCAST_MAX_ROWS):
+        return decode_complaints_wide(df, cb, cols, broadcast=True)
+    return decode_complaints_long(df, cb, cols)
+
+
+def decode_complaints_long(df: DataFrame, codebook: DataFrame, cols: Sequence[str] = S.RFV_COLUMNS) -> DataFrame:
+    """Codes move with a hash of their row, find their labels and come back as
+    one map a row; the rows are shuffled once, without descriptions. Labels are
+    looked up by code, so rows of equal hash (copies, or by chance) share a map
+    that holds the codes of each of them."""
+    key = F.xxhash64(*[c for c in ("visit_row",) if c in df.columns], *cols)
+    codes = F.array_distinct(F.filter(F.array(*[F.col(c).cast("bigint") for c in cols]), lambda c: c > 0))
+    long = df.select(key.alias("_key"), F.explode(codes).alias("_code"))
+    labels = (long.join(codebook, long["_code"] == codebook["code"]).groupBy("_key")
+              .agg(F.map_from_entries(F.collect_set(F.struct("code", "label"))).alias("_labels")))
+    out = df.withColumn("_key", key).join(labels, "_key", "left")
+    return out.select(*df.columns, *[F.try_element_at("_labels", F.col(c).cast("bigint")).alias(f"{c}_description") for c in cols])
 
 
 def decode_complaints_wide(df: DataFrame, codebook: DataFrame,

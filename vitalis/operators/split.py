@@ -41,9 +41,10 @@ def group_folds(df: DataFrame, group_col: str = "text_hash", strat_col: str = "t
     groups = (df.groupBy(group_col)
                 .agg(F.coalesce(F.min(F.array_position(strata, F.col(strat_col))), F.lit(0)).alias("_stratum"),
                      F.count(F.lit(1)).alias("_n")))
-    h = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(group_col)), 256)
-    groups = groups.select("*", h.alias("_h")).withColumn(
-        "_bucket", F.coalesce(F.conv(F.substring("_h", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int"), F.lit(0)))
+    # A group in bytes counts as its hexadecimal digits, which sort alike.
+    name = F.lower(F.hex(group_col)) if dict(df.dtypes)[group_col] == "binary" else F.col(group_col)
+    h = F.sha2(F.concat_ws(":", F.lit(str(seed)), name), 256)
+    groups = groups.withColumn("_bucket", F.coalesce(F.conv(F.substring(h, 1, BUCKET_HEX_DIGITS), 16, 10).cast("int"), F.lit(0)))
 
     # Small table: rows per (stratum, bucket) and their prefix offsets.
     per_bucket = groups.groupBy("_stratum", "_bucket").agg(F.sum("_n").alias("_bn"))
@@ -56,7 +57,9 @@ def group_folds(df: DataFrame, group_col: str = "text_hash", strat_col: str = "t
 
     w_in = (Window.partitionBy("_stratum", "_bucket").orderBy("_h", group_col)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = groups.select("*", (F.sum("_n").over(w_in) - F.col("_n")).alias("_before_in"))
+    # Groups move to their bucket without the hash, which is reckoned again there.
+    placed = groups.repartition("_stratum", "_bucket").withColumn("_h", h)
+    ranked = placed.select(group_col, "_stratum", "_n", "_bucket", (F.sum("_n").over(w_in) - F.col("_n")).alias("_before_in"))
     j = ranked.join(F.broadcast(offsets), ["_stratum", "_bucket"])
     fold = F.floor(F.lit(n_folds) * (F.col("_offset") + F.col("_before_in")) / F.col("_total")).cast("int")
     # Stratum 0 (no known class in the group) keeps a NULL stratum name.

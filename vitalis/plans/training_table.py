@@ -63,16 +63,18 @@ def build_training_table(visits: DataFrame, rfv_codebook: DataFrame, sex_codeboo
     template and UDF run exactly once and the lineage is cut. The finished
     table is written too, partitioned by ``split``: every gate, report and
     fit reads it again, and a split filter then prunes whole folders
-    instead of recomputing the split. ``materialize_rows=False`` keeps the
+    instead of recomputing the split. Ids and hashes, which don't compress, are
+    bytes until then, half as long as their digits. ``materialize_rows=False`` keeps the
     whole build lazy (fail-fast checks surface at the first action)."""
     rows = training_rows(decoded_visits(visits, rfv_codebook, sex_codebook), version)
     if not materialize_rows:
         return assign_splits(rows).select(*S.TRAINING_COLUMNS)
     spark = rows.sparkSession
     draft = scratch(spark, "training-rows")
-    rows.write.parquet(draft)
-    table = materialize(assign_splits(spark.read.parquet(draft)).select(*S.TRAINING_COLUMNS), "training-table",
-                        partition_by=("split",))
+    digests = ("record_id", "text_hash")  # 64 lower-case digits or null
+    rows.withColumns({c: F.unhex(c) for c in digests}).write.parquet(draft)
+    split = assign_splits(spark.read.parquet(draft)).withColumns({c: F.lower(F.hex(c)) for c in digests})
+    table = materialize(split.select(*S.TRAINING_COLUMNS), "training-table", partition_by=("split",))
     discard(spark, draft)
     return table.select(*S.TRAINING_COLUMNS)
 
