@@ -1,15 +1,20 @@
 """Feature engineering (inventory 2.9) as DataFrame jobs.
 
 Text features stay in long form ``(doc, term, weight)`` until a model needs
-vectors: one explode, grouped counts (map-side partial aggregation absorbs
+vectors: counts where a row is read (map-side partial aggregation absorbs
 hot terms), a vocabulary capped by a distributed top-k (so its size is
 proven before it is broadcast), and per-document norms.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
+from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,47 +25,115 @@ from vitalis.functions import text as X
 from vitalis.operators.quantiles import exact_quantiles
 from vitalis.operators.score import strip_text
 from vitalis.operators.stored import Stored
+from vitalis.session import materialize, small_enough
 
 PAD_TOKEN = "<PAD>"
 UNK_TOKEN = "<UNK>"
 
 
+class DocTerms(NamedTuple):
+    """Documents by what their counts need: ``alone`` (``doc, tokens``) has the ids of
+    one row, whose terms are counted where the row is read; ``several``
+    (``doc, term, tf``) those of more rows, which meet in a shuffle, or None."""
+
+    alone: DataFrame
+    several: DataFrame | None
+    bigrams: bool
+
+
 def doc_terms(docs: DataFrame, doc: str, text: str, pattern: str = X.TOKEN_RE_ASCII, group: int = 1,
-              bigrams: bool = True) -> DataFrame:
-    """(doc, term, tf): lower-case tokens (+ bigrams) counted per doc."""
-    toks = docs.select(F.col(doc).alias("doc"), X.tokenize(text, pattern, group).alias("_tk"))
-    terms = X.ngrams_1_2("_tk") if bigrams else F.col("_tk")
-    # Terms are shuffled once, by document: the per-document counts and
-    # the per-document norm of the transform then need no further exchange
-    # (one shuffle of the raw terms instead of one of the counts plus one
-    # of the weights). The explicit NOT NULL keeps both uses of this table
-    # (vocabulary fit and transform) plan-identical, so the tokenise +
-    # shuffle runs once; otherwise the join infers the filter on one
-    # branch only and the text is tokenised twice.
+              bigrams: bool = True) -> DocTerms:
+    """Lower-case tokens (+ bigrams) of each document. Rows that share an id,
+    null included, are one document; only these move."""
+    rows = docs.select(F.col(doc).alias("doc"), F.col(text).alias("_t"))
+    again = materialize(rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), "repeated-docs")
+    tokens = X.tokenize("_t", pattern, group).alias("tokens")
+    if again.isEmpty():
+        return DocTerms(rows.select("doc", tokens), None, bigrams)
+    shared = F.broadcast(again) if small_enough(again) else again
+    same = rows["doc"].eqNullSafe(again["doc"])
     # Documents move with their tokens, before these are repeated in bigrams.
-    return (toks.repartition("doc").select("doc", F.explode(terms).alias("term")).where(F.col("term").isNotNull())
-                .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
+    several = (rows.join(shared, same, "left_semi").select("doc", tokens).repartition("doc")
+               .select("doc", F.explode(_terms(bigrams)).alias("term")).where(F.col("term").isNotNull())
+               .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
+    return DocTerms(rows.join(shared, same, "left_anti").select("doc", tokens), several, bigrams)
+
+
+def _terms(bigrams: bool) -> Column:
+    return X.ngrams_1_2("tokens") if bigrams else F.col("tokens")
 
 
-def tfidf_fit(tf: DataFrame, docs: DataFrame, min_df: int = 2, max_features: int = 10_000) -> DataFrame:
+def tfidf_fit(tf: DocTerms, docs: DataFrame, min_df: int = 2, max_features: int = 10_000) -> DataFrame:
     """Vocabulary with smooth IDF: (term, idf) where
     ``idf = ln((1 + n) / (1 + df)) + 1`` and ``n`` counts every fitted
     document (token-less ones too); terms with ``df >= min_df``, the
-    ``max_features`` most frequent in the corpus (ties by term)."""
+    ``max_features`` most frequent in the corpus (ties by term). Each distinct
+    term of a row counts once for df, every occurrence once for corpus frequency;
+    only partial counts by term are shuffled."""
     n = docs.agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("_g"))
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    counts = tf.alone.where("tokens is not null").mapInArrow(_partial_counts(tf.bigrams), "term string, d long, c long")
+    if tf.several is not None:
+        counts = counts.union(tf.several.select("term", F.lit(1).cast("long"), "tf"))
+    stats = counts.groupBy("term").agg(F.sum("d").alias("df"), F.sum("c").alias("cf"))
     vocab = stats.where(F.col("df") >= min_df).orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
     vocab = vocab.withColumn("_g", F.lit(0)).join(F.broadcast(n), "_g")
     return vocab.select("term", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def tfidf_transform(tf: DataFrame, model: DataFrame) -> DataFrame:
+def tfidf_transform(tf: DocTerms, model: DataFrame) -> DataFrame:
     """(doc, term, weight): tf x idf, L2-normalised per document. The
-    vocabulary is capped, so broadcasting it is safe."""
-    j = tf.join(F.broadcast(model.select("term", "idf")), "term")
-    w = j.select("doc", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    vocabulary is capped, so it may reach the driver and every task."""
+    idf = {r["term"]: r["idf"] for r in model.select("term", "idf").collect()}
+    kind = tf.alone.schema["doc"].dataType.simpleString()
+    out = tf.alone.where("tokens is not null").mapInArrow(_weighed(idf, tf.bigrams), f"doc {kind}, term string, weight double")
+    if tf.several is None:
+        return out
+    learnt = tf.alone.sparkSession.createDataFrame(list(idf.items()), "term string, idf double")
+    w = tf.several.join(F.broadcast(learnt), "term").select("doc", "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc")))
-    return w.select("doc", "term", (F.col("w") / norm).alias("weight"))
+    return out.union(w.select("doc", "term", (F.col("w") / norm).alias("weight")))
+
+
+#: Rows whose terms are held at once.
+_HELD_ROWS = 256
+
+
+def _row_terms(batches: Iterable[pa.RecordBatch], bigrams: bool) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Runs of rows (document, tokens) and each row's terms, as an iterable."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _HELD_ROWS):
+            part = batch.slice(at, _HELD_ROWS)
+            yield part, [chain(t, map(" ".join, zip(t, t[1:]))) if bigrams else t for t in part.column(1).to_pylist()]
+
+
+def _partial_counts(bigrams: bool):
+    """Documents and occurrences of each term, over a run of rows."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _row_terms(batches, bigrams):
+            d, c = Counter(), Counter()
+            for terms in rows:
+                own = Counter(terms)
+                c.update(own)
+                d.update(own.keys())
+            yield pa.RecordBatch.from_arrays([pa.array(list(d), pa.string()), pa.array(list(d.values()), pa.int64()),
+                                              pa.array([c[t] for t in d], pa.int64())], ["term", "d", "c"])
+    return run
+
+
+def _weighed(idf: dict[str, float], bigrams: bool):
+    """The weights of the known terms of each row's tokens."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, every in _row_terms(batches, bigrams):
+            rows, terms, weights = [], [], []
+            for k, own in enumerate(every):
+                w = {t: n * idf[t] for t, n in Counter(filter(idf.__contains__, own)).items()}
+                norm = math.sqrt(sum(v * v for v in w.values()))
+                rows += [k] * len(w)
+                terms += w
+                weights += [v / norm for v in w.values()]
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int32())), pa.array(terms, pa.string()), pa.array(weights, pa.float64())],
+                                             ["doc", "term", "weight"])
+    return run
 
 
 def vocabulary(docs: DataFrame, text: str, min_freq: int = 1, max_size: int = 20_000,
