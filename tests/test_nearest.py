@@ -75,6 +75,40 @@ def test_no_join_of_everything_with_everything(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("spread, n, k", [(4, 3000, 5), (1000, 3000, 5), (1000, 3, 5), (2, 200, 7)])
+def test_search_inside_a_cell_equals_all_distances(spread, n, k):
+    rng = np.random.default_rng(7)
+    p, q = rng.integers(0, spread, (n, 3)).astype(float), rng.integers(-5, spread + 5, (400, 3)).astype(float)
+    order = rng.permutation(n)
+    told = lambda f: sorted(zip(f[0].tolist(), f[1].tolist(), f[2].tolist()))
+    every = NN.best_of(q, p, order, k)
+    assert told(NN.best_within(q, p, order, k, np.full(len(q), np.inf))) == told(every)
+    reach = rng.uniform(0, spread, len(q)) ** 2
+    near = every[2] <= reach[every[0]]
+    assert told(NN.best_within(q, p, order, k, reach)) == told([c[near] for c in every])
+
+
+def test_a_query_goes_down_the_tree_instead_of_to_all_cells(spark, monkeypatch):
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    rows = [(k, tuple(x), 0.0) for k, x in enumerate(rng.normal(size=(6000, 3)).tolist())]
+    searched = NN.Searched(points_of(spark, rows), 5, cell_rows=64)
+    q, reach = rng.normal(size=(200, 3)), rng.uniform(0, 0.5, 200)
+    far = NN.box_distances(q, searched.low, searched.high)
+    batch = pa.RecordBatch.from_arrays([pa.array(q.tolist(), pa.list_(pa.float64())), pa.array(reach)], ["x", "reach"])
+    assert searched.size.min() >= 5
+    monkeypatch.setattr(NN, "box_distances", lambda *a: pytest.fail("all cells"))
+    went = {}
+    for second in (False, True):
+        for b in searched._routes(second)(iter([batch])):
+            for x, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                assert c not in went.setdefault(tuple(x), set())
+                went[tuple(x)].add(c)
+    own = searched.cells.of(q)
+    for k, x in enumerate(q.tolist()):
+        assert went[tuple(x)] == {*searched.number[far[k] <= reach[k]].tolist(), int(own[k])}
+
+
 @pytest.mark.parametrize("kind, want", [("classification", [1.0, 0.0, 0.0]), ("regression", [0.6, 0.4, 0.4])])
 def test_factory_models_vote_or_average_and_can_be_saved(spark, tmp_path, kind, want):
     near = [(0, 0.0, 1.0), (1, 0.1, 1.0), (2, 0.2, 1.0), (3, 0.3, 0.0), (4, 0.4, 0.0),
