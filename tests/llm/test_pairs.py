@@ -1,12 +1,15 @@
 """Search and deduplication against brute force."""
 
+import os
 import random
+import time
 from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from vitalis.llm import ann, components, line_dedup, minhash, substring_dedup
+from vitalis.llm import ann, common, components, line_dedup, minhash, substring_dedup
 from tests.llm.conftest import ODD
 
 
@@ -311,6 +314,72 @@ def test_similar_forms_is_the_edit_similarity():
             assert line_dedup.similar_forms(a, b, s) == (1 - levenshtein(a, b) / max(1, len(a), len(b)) >= s)
 
 
+def test_similar_pairs_are_similar_forms():
+    rng = random.Random(9)
+    a, b = [], []
+    for k in range(400):
+        x = "".join(rng.choice("abc\u65e5\U0001f600" if k % 2 else "abcd") for _ in range(rng.randrange(1, 1200 if k % 40 == 0 else 60)))
+        a.append(x)
+        b.append("".join(c if rng.random() > 0.12 else rng.choice(["", "x", c + "y"]) for c in x) or "z")
+    for some in (slice(None), slice(0, None, 2), slice(0, 9)):
+        for s in (0.0, 0.5, 0.8, 0.9, 1.0):
+            want = [line_dedup.similar_forms(x, y, s) for x, y in zip(a[some], b[some])]
+            assert line_dedup.similar_pairs(a[some], b[some], s).tolist() == want
+
+
+def test_near_links_connect_what_all_pairs_would():
+    rng = np.random.default_rng(4)
+    seeds = rng.integers(0, 1 << 63, 12).astype(np.uint64)
+    h = rng.choice(seeds, 150) ^ (np.uint64(1) << rng.integers(0, 63, 150).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 63, 150).astype(np.uint64))
+    kind, side = rng.integers(0, 2, 150), rng.integers(0, 3, 150)
+    for chunk in (None, side):
+        for alike in (None, lambda x, y: kind[x] == kind[y]):
+            asked = []
+
+            def similar(xs, ys):
+                asked.extend(zip(xs.tolist(), ys.tolist()))
+                return kind[xs] == kind[ys]
+
+            pairs = [(a, b) for a, b in combinations(range(150), 2) if int(h[a] ^ h[b]).bit_count() <= 4
+                     and (chunk is None or chunk[a] != chunk[b])]
+            got = list(line_dedup.near_links(h, chunk, 4, similar if alike else None))
+            assert classes(150, got) == classes(150, [(a, b) for a, b in pairs if alike is None or alike(a, b)])
+            assert len(got) < 150 and set(got) <= set(pairs) and len(asked) == len(set(asked)) and len(asked) < len(pairs)
+
+
+def test_a_large_group_is_cut_by_length_and_compared_whole(spark):
+    rng = random.Random(5)
+    forms = ["".join(rng.choice("ab") for _ in range(rng.randrange(4, 40))) for _ in range(120)]
+    forms += [f + "c" for f in forms[::3]]
+    members = (spark.createDataFrame([(f.encode(), 1, 0, len(f), f) for f in forms], "node binary, comp long, simhash long, size int, form string")
+               .dropDuplicates(["node"]).withColumn("band", line_dedup.length_band(F.col("size"), 0.8)))
+    cells = (members.groupBy("comp", "band").agg(F.ceil(F.count("*") / 7).alias("parts"))
+             .groupBy("comp").agg(F.collect_list(F.struct("band", "parts")).alias("cells")))
+    links = [(r["a"].decode(), r["b"].decode()) for r in line_dedup.form_links(members.drop("size"), cells, 20, 0.8, 3).collect()]
+    names = sorted(set(forms))
+    at = {f: k for k, f in enumerate(names)}
+    every = [(a, b) for a, b in combinations(range(len(names)), 2) if line_dedup.similar_forms(names[a], names[b], 0.8)]
+    assert classes(len(names), [(at[a], at[b]) for a, b in links]) == classes(len(names), every)
+
+
+def test_shuffles_of_a_written_table_are_removed(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {x for x in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+
+    before = shuffled()
+    table = common.write_table(spark.range(5000).withColumn("k", F.col("id") % 7).groupBy("k").count(), "counts")
+    for _ in range(50):  # they are removed in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert sorted(r["k"] for r in table.collect()) == list(range(7))
+    common.drop_table(table)
+    assert not os.path.exists(table.table_path)
+
+
 def test_line_classes_and_removal_of_odd_rows(odd, empty):
     classes_ = line_dedup.line_classes(odd)
     rows = {tuple(r) for r in classes_.collect()}
