@@ -362,6 +362,66 @@ def test_a_large_group_is_cut_by_length_and_compared_whole(spark):
     assert classes(len(names), [(at[a], at[b]) for a, b in links]) == classes(len(names), every)
 
 
+def test_rounds_meet_each_pair_of_chunks_once(spark):
+    rng = random.Random(6)
+    forms = sorted({"".join(rng.choice("ab") for _ in range(rng.randrange(4, 40))) for _ in range(150)})
+    members = (spark.createDataFrame([(f.encode(), 1, 0, len(f), f) for f in forms], "node binary, comp long, simhash long, size int, form string")
+               .withColumn("band", line_dedup.length_band(F.col("size"), 0.8)))
+    cells = (members.groupBy("comp", "band").agg(F.ceil(F.count("*") / 7).alias("parts"), F.sum("size").alias("size"))
+             .groupBy("comp").agg(F.collect_list(F.struct("band", "parts", "size")).alias("cells")))
+    sized = {x["band"]: (x["parts"], x["size"]) for x in cells.first()["cells"]}
+    copies = sum(n * p for b, (_, n) in sized.items() for o, (p, _) in sized.items() if abs(b - o) <= 1)
+    assert line_dedup.rounds_of(cells, copies) == 1 and line_dedup.rounds_of(cells, copies // 4) in (4, 5)
+    assert line_dedup.rounds_of(cells.where("comp = 2"), 100) == 1
+    members = members.drop("size")
+    rounds = [[(r["a"].decode(), r["b"].decode()) for r in line_dedup.form_links(members, cells, 20, 0.8, 3, k, 4).collect()] for k in range(4)]
+    assert sum(map(bool, rounds)) > 1
+    whole = [(r["a"].decode(), r["b"].decode()) for r in line_dedup.form_links(members, cells, 20, 0.8, 3).collect()]
+    assert sorted(x for r in rounds for x in r) == sorted(whole)
+
+
+def test_line_classes_are_the_same_in_rounds(spark, monkeypatch):
+    base = [f"common{k}" for k in range(60)]
+    texts = [(k, " ".join([*base, f"tail{k}"]) + "\n" + " ".join(base[:k] + base[k + 1:])) for k in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    want, _ = brute_lines(texts)
+    made, one = [], line_dedup.form_links
+    monkeypatch.setattr(line_dedup, "form_links", lambda *given: made.append(given[5:]) or one(*given))
+    monkeypatch.setattr(line_dedup, "rounds_of", lambda cells, size: 3)
+    got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in line_dedup.line_classes(docs, block=8).collect()}
+    assert got == want and made == [(k, 3) for k in range(3)]
+
+
+def test_copies_of_a_group_grow_with_its_lines(spark, monkeypatch):
+    def chunks(n):
+        seen = []
+
+        def told(forms, cells, *more):
+            seen.append(cells.select(F.explode("cells").alias("x")).agg(F.sum("x.parts")).first()[0])
+            return one(forms, cells, *more)
+
+        one = line_dedup.form_links
+        with monkeypatch.context() as m:
+            m.setattr(line_dedup, "form_links", told)
+            base = " ".join(f"common{k}" for k in range(30))
+            line_dedup.line_classes(spark.createDataFrame([(k, f"{base} tail{k}") for k in range(n)], "doc_id long, text string"), block=4).count()
+        return seen[-1]
+
+    assert chunks(400) <= 10  # a hundred blocks of four lines
+
+
+def test_profiles_exclude_no_similar_pair():
+    rng = random.Random(10)
+    forms = ["".join(rng.choice("ab\u65e5\U0001f600") for _ in range(rng.randrange(0, 60))) for _ in range(150)]
+    forms += ["".join(c if rng.random() > 0.15 else rng.choice(["", "x", c + "y"]) for c in f) for f in forms] + ["a" * 700, "a" * 800]
+    counts, sizes = line_dedup.profiles(forms), np.array([len(f) for f in forms])
+    xs, ys = (np.array(x) for x in zip(*combinations(range(len(forms)), 2)))
+    for s in (0.5, 0.8, 1.0):
+        left = set(line_dedup.may_be_similar(counts, sizes, xs, ys, s).tolist())
+        similar = set(np.flatnonzero(line_dedup.similar_pairs([forms[x] for x in xs], [forms[y] for y in ys], s)).tolist())
+        assert similar <= left and len(left) < len(xs)
+
+
 def test_shuffles_of_a_written_table_are_removed(spark):
     blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
