@@ -268,6 +268,14 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     assert sum(r["score"] for r in got) > 0.95 * sum(r["base_score"] for r in got)
 
 
+def test_counts_are_sent_in_few_bytes():
+    for most, width in ((0, 1), (255, 1), (256, 2), (65_536, 4), (1 << 32, 8)):
+        numbers = np.array([0, most, 3])
+        data = lm.packed(numbers)
+        assert len(data) == 3 * width and lm.unpacked(data, 3).tolist() == numbers.tolist()
+    assert lm.packed(np.zeros(0, np.int64)) == b"" and lm.unpacked(b"", 0).tolist() == []
+
+
 def test_automaton_probabilities_sum_to_one():
     rng = random.Random(0)
     words = [b" ", *(b"%d" % k for k in range(6))]
